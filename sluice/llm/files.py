@@ -15,13 +15,13 @@ def create(uri: str):
     """A binary output stream to a new file; missing folders are made."""
     system, path = _resolve(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def stream(uri: str):
     """A buffered binary input stream."""
     system, path = _resolve(uri)
-    return system.open_input_stream(path, buffer_size=1 << 20)
+    return system.open_input_stream(path, compression=None, buffer_size=1 << 20)
 
 
 def seekable(uri: str):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -15,8 +16,22 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_files import digest, round_trip
+
+    return digest(round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import digest, pack
+
+    return digest(pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_token_files": op3_token_files,
+    "op9_packing": op9_packing,
 }
 
 #: No operator here is plain SQL; each is tested against a brute-force version instead.

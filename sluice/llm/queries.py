@@ -22,16 +22,45 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op5_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import decode, digest, encode
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return digest(decode(encode(_table(spark, sf_dir, "documents"), ranks), ranks))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify
+
+    return identify(_table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+
+    return judge(_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import digest, pack
 
     return digest(pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op10_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vectors import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_token_files": op3_token_files,
+    "op5_merge_replay": op5_merge_replay,
+    "op6_language": op6_language,
+    "op7_quality": op7_quality,
     "op9_packing": op9_packing,
+    "op10_vector_near_dedup": op10_vector_near_dedup,
 }
 
 #: No operator here is plain SQL; each is tested against a brute-force version instead.

@@ -25,6 +25,8 @@ WORDS = regex.compile(public_tokenizers.PATTERN)
 MEMORY = 1_200_000
 #: Longer pieces are encoded but not remembered.
 LONGEST = 64
+#: Pieces of characters below this one are split here rather than by the library.
+LATIN = "\u0250"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -49,7 +51,6 @@ class Encoder:
     def _forget(self) -> None:
         self.inner: dict[str, int] = {}  # pieces with a space before them
         self.first: dict[str, int] = {}  # pieces at the start of a text
-        self.words: dict[str, list[int]] = {}
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
         self.ends = np.zeros(1 << 14, dtype=np.int64)
         self.count = self.used = 0
@@ -58,22 +59,34 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _pieces(self, pieces: list[str]) -> list[list[int]]:
-        words, model, letters = self.words, self.tokenizer.model, self.letters
+        """Ids of new pieces."""
+        inner, model, letters = self.inner, self.tokenizer.model, self.letters
+        words: dict[str, list[int]] = {}
+
+        def ids_of(word: str) -> list[int]:
+            own = words.get(word)
+            if own is None:
+                k = inner.get(word[1:], self.count) if word[0] == " " else self.count
+                if k < self.count:  # a known piece of one word
+                    own = self.ids[self.ends[k] : self.ends[k + 1]].tolist()
+                else:
+                    own = [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(letters))]
+                words[word] = own
+            return own
+
         found: list = []
         other: list[int] = []
         for k, piece in enumerate(pieces):
-            if max(piece, default="a") >= "\u0250" or min(piece.replace("\n", "a"), default="a") < " ":
+            body = piece[1:] if piece[:1] == " " else piece
+            if body.isalpha() and (body.isascii() or max(body) < LATIN):
+                found.append(ids_of(piece))
+            elif body[-1:] in (".", ",") and body[:-1].isalpha() and (body.isascii() or max(body) < LATIN):
+                found.append(ids_of(piece[:-1]) + ids_of(piece[-1]))
+            elif body and max(body) < LATIN and min(body.replace("\n", "a")) >= " ":
+                found.append([i for word in WORDS.findall(piece) for i in ids_of(word)])
+            else:
                 other.append(k)
                 found.append(None)
-                continue
-            ids: list[int] = []
-            for word in WORDS.findall(piece):
-                own = words.get(word)
-                if own is None:
-                    shown = word.encode().decode("latin-1").translate(letters)
-                    own = words[word] = [t.id for t in model.tokenize(shown)]
-                ids += own
-            found.append(ids)
         for k, ids in zip(other, self._library([pieces[k] for k in other])):
             found[k] = ids
         return found
@@ -108,19 +121,17 @@ class Encoder:
             if len(head) > LONGEST:
                 whole[k] = np.array(self._library([text])[0], dtype=np.uint32)
                 continue
-            if None in own:
-                for j, found in enumerate(own):
-                    if found is None:
-                        piece = rest[j]
-                        if not piece or piece[0].isspace() or len(piece) > LONGEST:
-                            whole[k] = np.array(self._library([text])[0], dtype=np.uint32)
-                            break
-                        if piece not in inner:
-                            inner[piece] = self.count + len(new)
-                            new.append(" " + piece)
-                        own[j] = inner[piece]
-                if k in whole:
-                    continue
+            for j in [j for j, at_piece in enumerate(own) if at_piece is None] if None in own else ():
+                piece = rest[j]
+                if not piece or piece[0].isspace() or len(piece) > LONGEST:
+                    whole[k] = np.array(self._library([text])[0], dtype=np.uint32)
+                    break
+                if piece not in inner:
+                    inner[piece] = self.count + len(new)
+                    new.append(" " + piece)
+                own[j] = inner[piece]
+            if k in whole:
+                continue
             if head not in first:
                 first[head] = self.count + len(new)
                 new.append(head)

@@ -10,6 +10,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pseudonymise
+
+    return pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), count="n_replaced")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
@@ -22,6 +28,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import digest, round_trip
+
+    return digest(round_trip(_table(spark, sf_dir, "pages")))
+
+
 def op5_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import decode, digest, encode
 
@@ -41,6 +53,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract
+
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import digest, pack
 
@@ -54,11 +72,14 @@ def op10_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_token_files": op3_token_files,
+    "op4_warc": op4_warc,
     "op5_merge_replay": op5_merge_replay,
     "op6_language": op6_language,
     "op7_quality": op7_quality,
+    "op8_html_text": op8_html_text,
     "op9_packing": op9_packing,
     "op10_vector_near_dedup": op10_vector_near_dedup,
 }

@@ -1 +1 @@
-"""functions"""
+"""Column functions: types and their lattice, casts, masks, names."""

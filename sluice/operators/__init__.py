@@ -1 +1 @@
-"""operators"""
+"""Operators from DataFrame to DataFrame."""

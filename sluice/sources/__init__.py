@@ -1 +1 @@
-"""sources"""
+"""Sources and sinks: files, catalog and JDBC tables, queries, partitioned extraction."""

@@ -1 +1 @@
-"""streaming"""
+"""Continuous loads: the operators inside ``foreachBatch``."""

@@ -17,7 +17,7 @@ FALSE_WORDS = ("0", "f", "false", "no", "n", "off", "")
 DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd.MM.yyyy", "MM/dd/yyyy", "yyyyMMdd", "d MMM yyyy", "MMM d, yyyy")
 TIMESTAMP_FORMATS = (
     "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "dd.MM.yyyy HH:mm:ss", "yyyyMMdd'T'HHmmss",
-    "EEE, dd MMM yyyy HH:mm:ss z", "MMM d, yyyy HH:mm:ss",
+    "d MMM yyyy HH:mm:ss z", "MMM d, yyyy HH:mm:ss",
 )
 
 
@@ -57,6 +57,7 @@ def to_date(c: C) -> C:
 def to_timestamp(c: C) -> C:
     """Text to timestamp: ISO with or without zone first, then a fixed list of formats."""
     text = F.trim(c.cast("string"))
+    text = F.regexp_replace(text, r"^[A-Z][a-z]{2}, ", "")  # the name of the day
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{1,2}:\d{2}.*)?$"), text.try_cast("timestamp"))
     return try_each([iso, *(F.try_to_timestamp(text, F.lit(f)) for f in (*TIMESTAMP_FORMATS, *DATE_FORMATS[1:]))])
 

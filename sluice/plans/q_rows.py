@@ -169,7 +169,7 @@ def t23(spark, d):
 def _mask(name: str, sql: str | None, spec: str, source: str = "customer", key: str = "c_custkey", column: str = "c_name", derive=None):
     def run(spark, d):
         df = table(spark, d, source)
-        df = df.withColumn(column, derive) if derive is not None else df
+        df = df.withColumn(column, F.expr(derive)) if derive is not None else df
         return masking.mask(df.select(key, column), [f"{column}:{spec}"])
 
     run.__doc__ = f"Mask {spec.split(':')[0]}."
@@ -186,19 +186,19 @@ _mask(
     f"SELECT c_custkey, sha256('{_pads[1]}'::BLOB || unhex(sha256('{_pads[0]}'::BLOB || encode(c_name)))) AS c_name FROM customer",
     "hmac:secret",
 )
-_mail = F.concat(F.substring("c_mktsegment", 1, (F.col("c_custkey") % 5).cast("int")), F.when(F.col("c_custkey") % 6 != 0, F.lit("@mail.example.com")).otherwise(F.lit("")))
+_mail = "concat(substring(c_mktsegment, 1, int(c_custkey % 5)), if(c_custkey % 6 != 0, '@mail.example.com', ''))"
 _mask("m4_email", """
 SELECT c_custkey, CASE WHEN v = '' THEN v
   WHEN position('@' IN v) = 0 THEN CASE WHEN length(v) <= 4 THEN repeat('*', length(v)) ELSE left(v, 2) || repeat('*', length(v) - 4) || right(v, 2) END
   ELSE CASE WHEN length(l) <= 2 THEN repeat('*', length(l)) ELSE left(l, 1) || repeat('*', length(l) - 2) || right(l, 1) END || substr(v, position('@' IN v)) END AS c_name
 FROM (SELECT *, split_part(v, '@', 1) AS l FROM (SELECT c_custkey, left(c_mktsegment, CAST(c_custkey % 5 AS INTEGER)) || CASE WHEN c_custkey % 6 <> 0 THEN '@mail.example.com' ELSE '' END AS v FROM customer))""",
       "email", derive=_mail)
-_digits = F.concat(F.lit("+"), F.repeat(F.col("c_custkey").cast("string"), (F.col("c_custkey") % 4 + 1).cast("int")))
+_digits = "concat('+', repeat(string(c_custkey), int(c_custkey % 4 + 1)))"
 _DIGITS = "repeat(CAST(c_custkey AS VARCHAR), CAST(c_custkey % 4 + 1 AS INTEGER))"
 _mask("m5_phone", f"SELECT c_custkey, CASE WHEN length(v) < 10 THEN repeat('*', length(v)) ELSE left(v, 3) || '-***-****' END AS c_name FROM (SELECT c_custkey, {_DIGITS} AS v FROM customer)", "phone", derive=_digits)
 _mask("m6_credit_card", f"SELECT c_custkey, CASE WHEN length(v) < 12 THEN repeat('*', length(v)) ELSE repeat('*', length(v) - 4) || right(v, 4) END AS c_name FROM (SELECT c_custkey, {_DIGITS} AS v FROM customer)", "credit_card", derive=_digits)
 _mask("m7_ssn", f"SELECT c_custkey, CASE WHEN length(v) <> 9 THEN repeat('*', length(v)) ELSE '***-**-' || right(v, 4) END AS c_name FROM (SELECT c_custkey, {_DIGITS} AS v FROM customer)", "ssn", derive=_digits)
-_some = F.when(F.col("c_custkey") % 3 != 0, F.col("c_name"))
+_some = "if(c_custkey % 3 != 0, c_name, null)"
 _mask("m8_redact", "SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN 'REDACTED' END AS c_name FROM customer", "redact", derive=_some)
 _mask("m9_stars", "SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN repeat('*', length(c_name)) END AS c_name FROM customer", "stars", derive=_some)
 _mask("m10_fixed", "SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN 'gone' END AS c_name FROM customer", "fixed:gone", derive=_some)

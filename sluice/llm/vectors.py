@@ -1,8 +1,10 @@
 """Near-duplicate vectors by a subspace pigeonhole join.
 
-Unit vectors with cosine c lie at squared distance 2 - 2c. Rotated by a fixed
-random rotation and split into blocks, a pair within squared distance T is
-within T * (dimensions of the block / all dimensions) in one block at least.
+Unit vectors with cosine c lie at squared distance 2 - 2c. They are rotated by a
+fixed random rotation, and their leading ``JOIN_DIMS`` coordinates are split
+into blocks. A projection is never longer than what it comes from, so a pair
+within squared distance T is within T * (dimensions of the block / dimensions of
+all blocks) in one block at least; blocks beyond those would only cost time.
 Each block is range-joined on its own: its first rotated coordinates are cut
 into cells as wide as the block's radius, a vector is at home in one cell and a
 guest in the cells before it, so that a pair within the radius meets in the
@@ -34,9 +36,9 @@ from pyspark.sql import functions as F
 from .components import components, local_components
 from .scratch import cut
 
-BLOCK_DIMS = 16
+BLOCK_DIMS, JOIN_DIMS = 16, 32
 CELL_ROWS = 12_000
-TILE = 2048
+TILE = 1024
 SLACK = 1e-5
 
 
@@ -47,8 +49,9 @@ def rotation(dims: int, seed: int = 7) -> np.ndarray:
 
 
 def _blocks(dims: int) -> list[slice]:
-    n = max(1, dims // BLOCK_DIMS)
-    edges = [dims * k // n for k in range(n + 1)]
+    used = min(dims, JOIN_DIMS)
+    n = max(1, used // BLOCK_DIMS)
+    edges = [used * k // n for k in range(n + 1)]
     return [slice(a, b) for a, b in zip(edges, edges[1:])]
 
 
@@ -82,7 +85,7 @@ def _cells(threshold: float, coordinates: int):
                 turn = turns.setdefault(dims, rotation(dims))
                 turned = _rotated(flat[offsets[rows][:, None] + np.arange(dims)], turn)
                 for block, span in enumerate(_blocks(dims)):
-                    radius = np.sqrt((2 - 2 * threshold) * (span.stop - span.start) / dims + SLACK)
+                    radius = np.sqrt((2 - 2 * threshold) * (span.stop - span.start) / min(dims, JOIN_DIMS) + SLACK)
                     g = min(coordinates, span.stop - span.start)
                     cell = np.floor(turned[:, span.start : span.start + g] / radius).astype(np.int64)
                     for k, step in enumerate(np.ndindex(*[3] * g)):
@@ -109,8 +112,8 @@ class Join:
 
     def __init__(self, dims: int, block: int, threshold: float):
         self.turn, self.spans, self.block, self.threshold = rotation(dims), _blocks(dims), block, threshold
-        self.dims = dims
-        self.limits = np.array([(2 - 2 * threshold) * (s.stop - s.start) / dims + SLACK / 2 for s in self.spans])
+        used = min(dims, JOIN_DIMS)
+        self.limits = np.array([(2 - 2 * threshold) * (s.stop - s.start) / used + SLACK / 2 for s in self.spans])
 
     def prepare(self, values: np.ndarray) -> dict:
         turned = _rotated(values, self.turn)

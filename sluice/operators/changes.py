@@ -124,7 +124,7 @@ def fill_unchanged(feed: DataFrame, keys: list[str], data: list[str], order: str
     open_ = lambda c: is_unchanged(c) & F.col(f"_f_{c}").isNull() & (F.col("op") != "DELETE")
     rest = F.filter(F.array(*(F.when(open_(c), F.lit(c)) for c in data)), lambda x: x.isNotNull())
     columns = [
-        F.when(is_unchanged(c) & F.col(f"_f_{c}").isNotNull(), F.col(f"_f_{c}.v")).otherwise(F.col(c)).alias(c) if c in data
+        F.when(is_unchanged(c) & (F.col("op") != "DELETE") & F.col(f"_f_{c}").isNotNull(), F.col(f"_f_{c}.v")).otherwise(F.col(c)).alias(c) if c in data
         else rest.alias(unchanged) if c == unchanged else F.col(c)
         for c in feed.columns
     ]
@@ -213,7 +213,9 @@ def cdc_merge(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFra
             return F.when(fresh_state, F.col(f"last.{DELETED}")).otherwise(F.col(f"t_{c}"))
         if c == SYNCED:
             return F.when(fresh_state, F.col("synced")).otherwise(F.col(f"t_{c}"))
-        return F.when(fresh_image, keep_unchanged(c, F.col(f"active.{c}"), F.col(f"t_{c}"), names)).otherwise(F.col(f"t_{c}"))
+        image = F.col(f"active.{c}")
+        update = keep_unchanged(c, image, F.col(f"t_{c}"), names)
+        return F.when(fresh_image & exists, update).when(fresh_image, image).otherwise(F.col(f"t_{c}"))
 
     return joined.select(*(value(c).alias(c) for c in target.columns))
 

@@ -26,7 +26,7 @@ def tag(value: C, numbers: bool = True, words: bool = False) -> C:
     bare = F.when(text.rlike(r'^".*"$'), F.regexp_replace(text, r'^"|"$', "")).otherwise(text) if words else text
     number = text.try_cast("double")
     bit = {k: F.lit(1 << i) for i, k in enumerate(TAGS)}
-    out = F.when(bare == "", F.lit(None).cast("int"))
+    out = F.when(value.isNull() | (bare == ""), F.lit(None).cast("int"))
     if words:
         out = out.when(text == "null", F.lit(None).cast("int"))
     if numbers or words:

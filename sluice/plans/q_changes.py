@@ -201,8 +201,10 @@ def _states(spark, d):
 
 
 @_r.add("c12_resume_cursor", """
-SELECT max(lpad(CAST(event_id AS VARCHAR), 12, '0')) AS position, 'state' AS origin FROM events
-WHERE user_id % 3 = 1 AND user_id % 7 = 2 AND event_id % 3 <> 0 AND user_id % 4 = (SELECT max(user_id % 4) FROM events WHERE user_id % 3 = 1 AND user_id % 7 = 2)""")
+SELECT coalesce(s.p, t.p) AS position, CASE WHEN s.p IS NOT NULL THEN 'state' WHEN t.p IS NOT NULL THEN 'target' ELSE 'snapshot' END AS origin FROM
+(SELECT max(lpad(CAST(event_id AS VARCHAR), 12, '0')) AS p FROM events
+ WHERE user_id % 3 = 1 AND user_id % 7 = 2 AND event_id % 3 <> 0 AND user_id % 4 = (SELECT max(user_id % 4) FROM events WHERE user_id % 3 = 1 AND user_id % 7 = 2)) s,
+(SELECT CASE WHEN max(user_id % 8 = 0) THEN '000999999999' ELSE '000000000100' END AS p FROM events WHERE user_id % 2 = 0) t""")
 def c12(spark, d):
     return changes.resume_cursor(_states(spark, d), _users(spark, d), "1", "2")
 

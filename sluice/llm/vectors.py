@@ -231,18 +231,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, cell_rows: int =
     rows = rows.withColumn("fine", fine).withColumn("key", F.when(F.col("fine"), F.sha2(F.concat_ws(",", F.col("v").cast("array<string>")), 256)))
     rows = cut(rows, "vectors")
     entries = rows.filter("fine").groupBy("key").agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("v").alias("v")
+        F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("n"), F.first("v").alias("v")
     )
-    entries = cut(entries.withColumn("size", F.size("v")), "entries")
+    # Ids may repeat, so entries get numbers of their own; written down, they stay.
+    entries = cut(entries.withColumn("size", F.size("v")).withColumn("rep", F.monotonically_increasing_id()), "entries")
     found = cut(links(entries.select("rep", "n", "v", "size"), threshold, 1, cell_rows), "links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(found.filter("rep != root").select(F.col("rep").alias("u"), F.col("root").alias("v")))
     entry = (
-        entries.select("key", "rep", "n")
+        entries.select("key", "rep", "n", "least_id")
         .join(counts, "rep", "left")
         .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
+        .withColumn("group", F.coalesce("root", "rep"))
     )
+    least = entry.groupBy("group").agg(F.min("least_id").alias("component_id"))
+    entry = entry.join(least, "group").select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
     result = rows.select("vec_id", "key").join(entry, "key", "left")
     component = F.coalesce("component_id", "vec_id")
     return result.select(

@@ -111,20 +111,26 @@ def page_records(
 
 def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and block of each record of a gzip or plain stream."""
-    z = zlib.decompressobj(47)
+    z = zlib.decompressobj(31)
     held = bytearray()
     at = 0
+    packed = None  # whether the stream is gzip, told by its first bytes
 
     def more() -> bool:
-        nonlocal z
+        nonlocal z, packed
         raw = stream.read(1 << 20)
         if not raw:
             return False
+        if packed is None:
+            packed = raw[:2] == b"\x1f\x8b"
+        if not packed:
+            held.extend(raw)
+            return True
         while raw:
             held.extend(z.decompress(raw))
             raw = z.unused_data
             if z.eof:
-                z = zlib.decompressobj(47)
+                z = zlib.decompressobj(31)
         return True
 
     while True:

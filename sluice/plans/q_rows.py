@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from ..functions import casting, masking
 from ..functions.types import Column
-from ..operators import reshape, transforms
+from ..operators import reshape, strategies, transforms
 from .registry import Registry, table
 
 _r = Registry()
@@ -113,11 +113,11 @@ def t15(spark, d):
     return transforms.override(table(spark, d, "nation").select("n_nationkey", "n_name"), "population:bigint,founded:date")
 
 
-@_r.add("t16_empty_from_declarations", "SELECT CAST(NULL AS VARCHAR) AS id, CAST(NULL AS DATE) AS day FROM region WHERE FALSE")
+@_r.add("t16_empty_from_declarations", "SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(NULL AS DATE) AS day FROM customer")
 def t16(spark, d):
-    """No row, but the declared columns; read against the real table so that it plans like a load."""
-    none = table(spark, d, "region").limit(0)
-    return transforms.align(none, T.StructType([c.field() for c in (Column("id", "string"), Column("day", "date"))]))
+    """A table made from declared columns takes its first rows."""
+    target = transforms.empty(spark, [Column("id", "string"), Column("day", "date")])
+    return strategies.upsert(target, table(spark, d, "customer").select(F.col("c_custkey").alias("id")), ["id"])
 
 
 @_r.add("t17_trim", r"""

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import evolve, infer
+from ..operators.transforms import align
+from ..sources import sinks
+from . import workspace
 from .registry import Registry, table
 
 _r = Registry()
@@ -105,8 +108,11 @@ _BRAND = "CASE WHEN p_partkey % 5 = 0 THEN p_brand END"
 SELECT x.* FROM (VALUES ('widen', 'p_size', 'int32', 'string'), ('add', 'p_brand', NULL, 'string'), ('remove', 'p_retailprice', 'float64', NULL)) AS x(change, name, old_kind, new_kind)
 WHERE EXISTS (SELECT 1 FROM part)""")
 def e1(spark, d):
-    changes = evolve.compare(_drifted(spark, d).schema, _part(spark, d).schema)
-    return evolve.changes_as_rows(spark, changes)
+    """The incoming schema is inferred from all rows of untyped text."""
+    text = _drifted(spark, d)
+    text = text.select(*(F.col(c).cast("string").alias(c) for c in text.columns))
+    incoming = T.StructType([c.field() for c in infer.infer(text)])
+    return evolve.changes_as_rows(spark, evolve.compare(incoming, _part(spark, d).schema))
 
 
 @_r.add("e3_evolve", f"""
@@ -156,18 +162,34 @@ def e2(spark, d):
     return evolve.union_evolved(target, new)
 
 
-@_r.add("e8_final_schema", """
-SELECT x.* FROM (VALUES (0, 'p_partkey', 'bigint'), (1, 'p_name', 'string'), (2, 'p_size', 'string'), (3, 'p_retailprice', 'double'), (4, 'p_brand', 'string')) AS x(pos, name, type)
-WHERE EXISTS (SELECT 1 FROM part)""")
+@_r.add("e8_final_schema", f"""
+SELECT p_partkey, 'bigint,string,string,double,string' AS types FROM ({_OLD}) UNION ALL SELECT p_partkey, 'bigint,string,string,double,string' FROM part WHERE p_partkey % 2 = 1""")
 def e8(spark, d):
-    target = _part(spark, d).schema
-    final: T.StructType = evolve.evolved(target, evolve.compare(_drifted(spark, d).schema, target))
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(final.fields)]
-    return spark.createDataFrame(rows, "pos int, name string, type string")
+    """The types of every row after both sides took the final schema."""
+    out = evolve.union_evolved(_part(spark, d), _drifted(spark, d))
+    return out.select("p_partkey", F.concat_ws(",", *(F.typeof(c) for c in out.columns)).alias("types"))
 
 
-@_r.add("e9_ddl", """
-SELECT x.* FROM (VALUES ('ALTER TABLE part ADD COLUMNS (`p_brand` string)', 1)) AS x(statement, n_warnings) WHERE EXISTS (SELECT 1 FROM part)""")
+@_r.add("e9_ddl", f"""
+SELECT p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size, p_retailprice, NULL AS p_brand FROM ({_OLD})
+UNION ALL SELECT p_partkey, p_name, {_SIZE}, NULL, {_BRAND} FROM part WHERE p_partkey % 2 = 1""")
 def e9(spark, d):
-    statements, warnings = evolve.ddl("part", evolve.compare(_drifted(spark, d).schema, _part(spark, d).schema))
-    return spark.createDataFrame([(s, len(warnings)) for s in statements], "statement string, n_warnings int")
+    """A catalog table is made, altered and rewritten to the final schema, and appended to."""
+    name = "sluice_q_" + workspace.path(spark, "t").rpartition("-")[2]
+    sinks.swap(_part(spark, d), name)
+    new = _drifted(spark, d)
+    sinks.evolve_table(spark, name, new.schema)
+    sinks.append(align(new, spark.table(name).schema), name)
+    return spark.table(name)
+
+
+@_r.add("e9_add_column", "SELECT p_partkey, p_name, NULL AS p_brand FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, p_name, p_brand FROM part WHERE p_partkey % 2 = 1")
+def e9b(spark, d):
+    """A new column alone is added in place."""
+    name = "sluice_q_" + workspace.path(spark, "t").rpartition("-")[2]
+    p = table(spark, d, "part")
+    sinks.swap(p.filter("p_partkey % 2 = 0").select("p_partkey", "p_name"), name)
+    new = p.filter("p_partkey % 2 = 1").select("p_partkey", "p_name", "p_brand")
+    assert sinks.evolve_table(spark, name, new.schema) == []
+    sinks.append(new, name)
+    return spark.table(name)

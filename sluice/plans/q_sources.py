@@ -350,6 +350,42 @@ def r7(spark, d):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+@_r.add("r1_stream_flushes", "SELECT count(*) AS n_rows, TRUE AS several FROM events")
+def r1(spark, d):
+    """A flush takes one file at most; all rows arrive, over several flushes."""
+    seen = []
+    _run(spark, d, lambda rows, i: seen.append(rows.count()))
+    return spark.createDataFrame([(sum(seen), len(seen) > 1)], "n_rows long, several boolean")
+
+
+@_r.add("r8_stream_new_table", "SELECT event_type AS name, count(*) AS n FROM events GROUP BY event_type")
+def r8(spark, d):
+    """No table is known beforehand; each is made by the batch that first has rows for it."""
+    base = _name(spark)
+    names: set[str] = set()
+
+    def make(t):
+        names.add(t)
+        return continuous.append_to(f"{base}_{t}")
+
+    batch = continuous.many_tables(make, "event_type")
+    _run(spark, d, lambda rows, i: batch(rows.select("event_type", "event_id"), i))
+    parts = [spark.table(f"{base}_{t}").agg(F.lit(t).alias("name"), F.count(F.lit(1)).alias("n")) for t in sorted(names)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@_r.add("r12_stream_stop", "SELECT event_id FROM events")
+def r12(spark, d):
+    """A query that would run on is drained and stopped; its table holds everything."""
+    name = _name(spark)
+    append = continuous.append_to(name)
+    path, schema = _stream_folder(spark, d)
+    stream = continuous.file_stream(spark, path, schema)
+    query = continuous.start(stream, lambda rows, i: append(rows.select("event_id"), i), workspace.path(spark, "offsets"), seconds=0)
+    continuous.stop(query, 60)
+    return spark.table(name).drop("_batch_id")
+
+
 @_r.add("r9_stream_schema_change", """
 SELECT event_id, CASE WHEN event_id >= (SELECT count(*) / 2 FROM events) THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k, event_type AS kind FROM events""")
 def r9(spark, d):

@@ -73,16 +73,22 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
 def merge(target: DataFrame, staged: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
     """Upsert: matched rows take all staged columns, unmatched ones are inserted, the rest stays.
 
-    One full outer join. Columns that only the target has are kept on update
-    and null on insert.
+    One full outer join, which keeps the partitioning of the staged rows'
+    deduplication. Rows with a null in the key match nothing; they pass beside
+    the join, so that they do not meet in one task. Columns that only the target
+    has are kept on update and null on insert.
     """
-    staged = _one_per_key(staged, keys, order)
-    t, s = _prefixed(target, "t_"), _prefixed(staged, "s_")
+    whole = reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.lit(True))
+    t, s = _prefixed(target.filter(whole), "t_"), _prefixed(latest(staged.filter(whole), keys, order), "s_")
     match = reduce(lambda a, k: a & (F.col(f"t_{k}") == F.col(f"s_{k}")), keys, F.lit(True))
     joined = t.join(s, match, "full_outer")
     have = set(staged.columns)
     taken = lambda c: F.when(F.col("s_"), F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")) if c in have else F.col(f"t_{c}")
-    return joined.select(*(taken(c).alias(c) for c in target.columns))
+    merged = joined.select(*(taken(c).alias(c) for c in target.columns))
+    for side in (target, staged):
+        if any(f.nullable for f in side.schema.fields if f.name in keys):
+            merged = merged.unionByName(side.filter(~whole), allowMissingColumns=True).select(target.columns)
+    return merged
 
 
 def merge_where(target: DataFrame, staged: DataFrame, keys: list[str], predicate: C, order: str | None = None) -> DataFrame:

@@ -254,7 +254,8 @@ def keep_first(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
     groups = cut(near_duplicates(docs, width, max_bits), "groups")
     stay = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
     stay = cut(stay, "stay")
-    kept = docs.join(stay.select("doc_id"), "doc_id", "left_semi")
+    # The list grows with the corpus, so it is never broadcast, at no size.
+    kept = docs.join(stay.select("doc_id").hint("merge"), "doc_id", "left_semi")
     repeated = stay.filter("rows > 1").select("doc_id")
     if not repeated.isEmpty():
         once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])

@@ -53,14 +53,14 @@ class Replay:
         self.rank_of = rank_of
         self.token = {i: t for t, i in rank_of.items()}
         self.byte_ids = np.array([rank_of[bytes([b])] for b in range(256)], dtype=np.int64)
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.pairs: dict[int, int] = {}
 
     def _pair(self, left: int, right: int) -> int:
         """Rank of the merge of two ids, or -1."""
-        key = left, right
+        key = left << 32 | right
         rank = self.pairs.get(key)
         if rank is None:
-            if len(self.pairs) > 1_000_000:  # bounds memory; pairs are looked up again
+            if len(self.pairs) > 300_000:  # bounds memory; pairs are looked up again
                 self.pairs.clear()
             rank = self.pairs[key] = self.rank_of.get(self.token[left] + self.token[right], -1)
         return rank
@@ -147,6 +147,8 @@ class Replay:
 class ReplayEncoder(Encoder):
     """Whole texts by ``Replay``, with the remembered pieces of ``Encoder``."""
 
+    memory = 600_000
+
     def __init__(self, path: str, split: str):
         self.replay = Replay(ranks(path))
         self.split = pattern(split)
@@ -154,7 +156,7 @@ class ReplayEncoder(Encoder):
         self._forget()
 
     def _library(self, texts: list[str]) -> list[list[int]]:
-        if len(self.words) > 300_000:  # bounds memory; words are merged again
+        if len(self.words) > 150_000:  # bounds memory; words are merged again
             self.words.clear()
         parts = [self.split.findall(t) for t in texts]
         new = list(dict.fromkeys(w for words in parts for w in words if w not in self.words))
@@ -193,10 +195,12 @@ def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = [t for t, _ in sorted(ranks(rank_file).items(), key=lambda x: x[1])]
-        for b in it:
-            rows = b.column("ids").to_pylist()
-            texts = [b"".join(map(table.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in rows]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"])
+        for whole in it:
+            for at in range(0, whole.num_rows, 500):
+                b = whole.slice(at, 500)
+                rows = b.column("ids").to_pylist()
+                texts = [b"".join(map(table.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in rows]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
 

@@ -39,6 +39,8 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Encodes lists of texts with the tokenizer file at ``path``."""
 
+    memory = MEMORY
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -107,7 +109,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, ends)``: all ids in order, and for each text where its ids end."""
-        if self.count > MEMORY:
+        if self.count > self.memory:
             self._forget()
         inner, first, new = self.inner, self.first, []
         at: list[int] = []

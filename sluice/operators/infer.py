@@ -21,12 +21,18 @@ def tag(value: C, numbers: bool = True, words: bool = False) -> C:
 
     ``numbers``: numbers and booleans are looked for, else only dates and times.
     ``words``: the text is a raw JSON value, so quoted text is text.
+
+    The trimmed text is bound by a lambda: it is used dozens of times, and spelled
+    out each time the generated code of a wide table would be too large to compile.
     """
-    text = F.trim(value)
+    return F.get(F.transform(F.array(F.trim(value)), lambda text: _tag(text, numbers, words)), F.lit(0))
+
+
+def _tag(text: C, numbers: bool, words: bool) -> C:
     bare = F.when(text.rlike(r'^".*"$'), F.regexp_replace(text, r'^"|"$', "")).otherwise(text) if words else text
     number = text.try_cast("double")
     bit = {k: F.lit(1 << i) for i, k in enumerate(TAGS)}
-    out = F.when(value.isNull() | (bare == ""), F.lit(None).cast("int"))
+    out = F.when(text.isNull() | (bare == ""), F.lit(None).cast("int"))
     if words:
         out = out.when(text == "null", F.lit(None).cast("int"))
     if numbers or words:

@@ -290,16 +290,21 @@ def digest(found: DataFrame) -> DataFrame:
         ),
         "records",
     )
-    whole = rows.filter("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to")).agg(
+    own = rows.filter("record_type != 'revisit'")
+    whole = own.groupBy(F.col("record_id").alias("refers_to")).agg(
         F.max("page_id").alias("whole_page"), F.max("bytes").alias("whole_bytes"), F.max("sha1").alias("whole_sha1")
     )
-    return rows.join(whole, "refers_to", "left").select(
-        "page_id",
-        F.coalesce("bytes", "whole_bytes").alias("payload_bytes"),
-        F.coalesce("sha1", "whole_sha1").alias("payload_digest"),
-        "record_type",
+    # Only revisits are joined, so that the null references of all others do not meet in one task.
+    revisits = rows.filter("record_type = 'revisit'").join(whole, "refers_to", "left").select(
+        "page_id", F.col("whole_bytes").alias("payload_bytes"), F.col("whole_sha1").alias("payload_digest"), "record_type",
         F.col("whole_page").alias("refers_to"),
     )
+    return revisits.unionByName(
+        own.select(
+            "page_id", F.col("bytes").alias("payload_bytes"), F.col("sha1").alias("payload_digest"), "record_type",
+            F.lit(None).cast("long").alias("refers_to"),
+        )
+    )
 
 
 def round_trip(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:

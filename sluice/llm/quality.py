@@ -30,6 +30,8 @@ from .scratch import cut, fresh
 
 #: Share of a group's rows in the estimate, number of concentration steps, rows that a group needs.
 SHARE, STEPS, LEAST_ROWS = 0.75, 3, 200
+#: Tasks over which the rows of one group are dealt.
+SALTS = 16
 #: Quantile of the chi-squared distribution of 5 degrees of freedom at 1 - 1e-9, and its median.
 CUTOFF, MEDIAN = 51.0, 4.3515
 #: Smallest standard deviation of each transformed statistic. Most texts have no symbol, repeated
@@ -125,10 +127,16 @@ def _distance(prefix: str = "") -> Column:
     return reduce(lambda a, b: a + b, [x * x for x in z])
 
 
-def _with_distance(rows: DataFrame, est: DataFrame, keys: list[str]) -> DataFrame:
+def _joined(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with their group's columns; a group's rows are dealt over ``SALTS`` tasks."""
     if not keys:
-        return rows.crossJoin(F.broadcast(est)).withColumn("d2", _distance())  # one row
-    return rows.join(est, keys).withColumn("d2", _distance())
+        return rows.crossJoin(F.broadcast(groups))  # one row
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(salted, [*keys, "salt"])
+
+
+def _with_distance(rows: DataFrame, est: DataFrame, keys: list[str]) -> DataFrame:
+    return _joined(rows, est, keys).withColumn("d2", _distance())
 
 
 def fit(rows: DataFrame, keys: list[str], least_rows: int) -> DataFrame:
@@ -137,8 +145,8 @@ def fit(rows: DataFrame, keys: list[str], least_rows: int) -> DataFrame:
     for _ in range(STEPS):
         away = _with_distance(rows, est, keys)
         limit = away.groupBy(*keys).agg(F.percentile_approx("d2", SHARE, 1000).alias("limit"))
-        near = away.join(limit, keys) if keys else away.crossJoin(F.broadcast(limit))
-        est = cut(_estimate(near.filter("d2 <= limit").select(*keys, *NAMES), keys).drop("n"), "scatter")
+        near = _joined(away, limit, keys).filter("d2 <= limit")
+        est = cut(_estimate(near.select(*keys, *NAMES), keys).drop("n"), "scatter")
     middle = _with_distance(rows, est, keys).groupBy(*keys).agg(F.percentile_approx("d2", 0.5, 1000).alias("middle"))
     middle = middle.withColumn("scale", F.greatest(F.col("middle") / MEDIAN, F.lit(1.0))).drop("middle")
     return est.join(middle, keys) if keys else est.crossJoin(middle)
@@ -156,10 +164,11 @@ def judge(docs: DataFrame, least_rows: int = LEAST_ROWS, carry: list[str] | None
         F.struct(*(F.col(c) for c in carry)).alias("own"),
         F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("")).alias("g_lang"),
         F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("g_source"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"),
         f"{stats}.*",
     )
-    rows = cut(rows, "quality")
-    sample = rows.filter("not base_failed").select("g_lang", "g_source", *NAMES)
+    rows = cut(rows, "quality")  # written down, the salts stay
+    sample = rows.filter("not base_failed").select("g_lang", "g_source", "salt", *NAMES)
     own = fit(sample, ["g_lang", "g_source"], least_rows)
     by_lang = fit(sample, ["g_lang"], least_rows)
     overall = fit(sample, [], 1)
@@ -174,7 +183,7 @@ def judge(docs: DataFrame, least_rows: int = LEAST_ROWS, carry: list[str] | None
     )
     table = table.join(F.broadcast(named(overall, [], "e3")), how="left")  # one row
     table = cut(table.select("g_lang", "g_source", F.coalesce("e1", "e2", "e3").alias("e")), "scatter")
-    judged = rows.join(table, ["g_lang", "g_source"]).withColumn("d2", _distance("e.") / F.col("e.scale"))
+    judged = _joined(rows, table, ["g_lang", "g_source"]).withColumn("d2", _distance("e.") / F.col("e.scale"))
     return judged.select(
         "own.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(F.col("d2") <= CUTOFF, F.lit(True))).alias("kept"), "d2",

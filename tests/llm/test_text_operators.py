@@ -251,7 +251,7 @@ def test_quality_distance_equals_numpy(spark):
     """The estimate and the distance of one concentration step, against numpy."""
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 5)) @ rng.normal(size=(5, 5)) + 3
-    df = spark.createDataFrame([("g", *map(float, r)) for r in x], ["g", *quality.NAMES])
+    df = spark.createDataFrame([("g", k % quality.SALTS, *map(float, r)) for k, r in enumerate(x)], f"g string, salt int, {', '.join(f'{n} double' for n in quality.NAMES)}")
     est = quality._estimate(df, ["g"])
     got = quality._with_distance(df, est, ["g"]).toPandas()
     cov = np.cov(x.T, bias=True) + np.diag(np.square(quality.FLOORS))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .components import components, local_components
 from .scratch import cut
+from .similar import near_copies
 
 BLOCK = 16
 SUBTREE_ROWS = 50_000
@@ -246,12 +247,13 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataF
     )
 
 
-def keep_first(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group, all columns kept.
+def keep_first(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its group of near copies, all columns kept.
 
-    Of rows that repeat an id one stays. Rows without an id are kept.
+    Texts are near copies if the sets of their shingles of ``width`` words have at least this
+    Jaccard similarity. Of rows that repeat an id one stays. Rows without an id are kept.
     """
-    groups = cut(near_duplicates(docs, width, max_bits), "groups")
+    groups = cut(near_copies(docs, width, similarity), "groups")
     stay = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
     stay = cut(stay, "stay")
     # The list grows with the corpus, so it is never broadcast, at no size.

@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 import xxhash
 
-from sluice.llm import bpe, language, packing, pii, quality, simhash, token_files
+from sluice.llm import bpe, language, packing, pii, quality, similar, simhash, token_files
 from sluice.llm.components import components, local_components
 from sluice.llm.scratch import new_path
 from sluice.llm.tokens import Encoder
@@ -75,6 +75,33 @@ def test_simhash_defined_cases(spark, odd):
     assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 4, 7, 8, 9, 10]
 
 
+def jaccard_groups(texts: dict[int, str]) -> dict[int, int]:
+    ids = sorted(texts)
+    words = {k: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), texts[k] or "")) for k in ids}
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (words[k] for k in ids)]
+    near = [(i, j) for j in range(len(ids)) for i in range(j) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    i, j = np.array(near, dtype=int).reshape(-1, 2).T
+    return {ids[k]: ids[c] for k, c in enumerate(local_components(len(ids), i, j))}
+
+
+@pytest.mark.parametrize("chunk", [150, 2_000, similar.CHUNK])
+def test_near_copies_equal_all_pairs(spark, chunk):
+    """Copies with some words changed: at five words and 0.8, beyond three bits of a fingerprint."""
+    rng = random.Random(5)
+    rows = []
+    for base in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(120)]
+        for k in range(8):
+            changed = list(words)
+            for at in rng.sample(range(120), k // 2):
+                changed[at] = f"x{rng.randrange(5000)}"
+            rows.append((len(rows), " ".join(changed)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = jaccard_groups(dict(rows))
+    assert {r.doc_id: r.component_id for r in similar.near_copies(docs, chunk=chunk).collect()} == want
+    assert sorted(r.doc_id for r in simhash.keep_first(docs).collect()) == sorted(set(want.values()))
+
+
 @pytest.mark.parametrize("subtree_rows", [2, 40, 100_000])
 def test_trie_join_equals_all_pairs(spark, subtree_rows):
     rng = random.Random(subtree_rows)

@@ -32,11 +32,14 @@ from .scratch import cut, fresh
 SHARE, STEPS, LEAST_ROWS = 0.75, 3, 200
 #: Tasks over which the rows of one group are dealt.
 SALTS = 16
-#: Quantile of the chi-squared distribution of 5 degrees of freedom at 1 - 1e-9, and its median.
-CUTOFF, MEDIAN = 51.0, 4.3515
-#: Smallest standard deviation of each transformed statistic. Most texts have no symbol, repeated
-#: line or repeated words at all; the floors keep a single repetition from standing out against them.
-FLOORS = (0.25, 0.05, 0.30, 1.0, 1.0)
+#: Quantile of the chi-squared distribution of 5 degrees of freedom at 0.999, and its median.
+CUTOFF, MEDIAN = 20.515, 4.3515
+#: Smallest standard deviation of each transformed statistic. Most texts have no symbol, repeated line or
+#: repeated words at all; against such a group about 9 % of the lines or words repeated is the limit.
+FLOORS = (0.25, 0.05, 0.30, 0.5, 0.5)
+#: One repeated line, or one repeated run of three words (six words), is at most so many standard
+#: deviations, so that in a short text, whose shares are coarse, it does not decide alone.
+ONCE = 3.0
 NAMES = ("v1", "v2", "v3", "v4", "v5")
 _DIMS = range(len(NAMES))
 
@@ -77,7 +80,14 @@ def with_statistics(docs: DataFrame, out: str) -> DataFrame:
     failed = (F.col(f"{raw}.n_words") < 50) | (100 * F.col(f"{raw}.n_repeat_words") > 50 * F.col(f"{raw}.n_words"))
     fields = [F.col(f"{raw}.{x}").alias(x) for x in ("n_words", "word_chars", "n_symbols")]
     fields += [F.col(f"{raw}.lines.dup").alias("n_dup_lines"), F.col(f"{raw}.n_repeat_words").alias("n_repeat_words")]
-    fields += [failed.alias("base_failed"), *(x.alias(n) for n, x in zip(NAMES, vector))]
+    # By how much the variance of v4 and v5 is raised for a text whose shares are coarser than the floors.
+    coarse = [
+        F.greatest(F.pow(F.log1p(100 * one / total) / ONCE, 2) - floor**2, F.lit(0.0)).alias(name)
+        for name, one, total, floor in (
+            ("e4", 1, F.greatest(c("lines.n"), F.lit(1.0)), FLOORS[3]), ("e5", 6, words, FLOORS[4])
+        )
+    ]
+    fields += [*coarse, failed.alias("base_failed"), *(x.alias(n) for n, x in zip(NAMES, vector))]
     return df.withColumn(out, F.struct(*fields)).drop(raw)
 
 
@@ -118,15 +128,27 @@ def _start(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _distance(prefix: str = "") -> Column:
+def _distance(of=F.col) -> Column:
     """Squared Mahalanobis distance by forward substitution, from joined estimate columns."""
     z: list[Column] = []
     for i in _DIMS:
-        rest = reduce(lambda a, j: a - F.col(f"{prefix}l_{i}_{j}") * z[j], range(i), F.col(NAMES[i]) - F.col(f"{prefix}m_{i}"))
-        z.append(rest / F.col(f"{prefix}l_{i}_{i}"))
+        rest = reduce(lambda a, j: a - of(f"l_{i}_{j}") * z[j], range(i), F.col(NAMES[i]) - of(f"m_{i}"))
+        z.append(rest / of(f"l_{i}_{i}"))
     return reduce(lambda a, b: a + b, [x * x for x in z])
 
 
+def _own_distance(est: str) -> Column:
+    """``_distance`` under the scatter with ``e4`` and ``e5`` added to the last two variances."""
+    l33, l43, l44 = (F.col(f"{est}.l_{i}_{j}") for i, j in ((3, 3), (4, 3), (4, 4)))
+    a = F.sqrt(l33 * l33 + F.col("e4"))
+    b = l43 * l33 / a
+    own = {"l_3_3": a, "l_4_3": b, "l_4_4": F.sqrt(l44 * l44 + l43 * l43 - b * b + F.col("e5"))}
+    names = [f"m_{i}" for i in _DIMS] + [f"l_{i}_{j}" for i in _DIMS for j in range(i + 1)]
+    return F.transform(
+        F.array(F.struct(*(own.get(n, F.col(f"{est}.{n}")).alias(n) for n in names))), lambda x: _distance(lambda n: x[n])
+    )[0]
+
+
 def _joined(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` with their group's columns; a group's rows are dealt over ``SALTS`` tasks."""
     if not keys:
@@ -183,7 +205,7 @@ def judge(docs: DataFrame, least_rows: int = LEAST_ROWS, carry: list[str] | None
     )
     table = table.join(F.broadcast(named(overall, [], "e3")), how="left")  # one row
     table = cut(table.select("g_lang", "g_source", F.coalesce("e1", "e2", "e3").alias("e")), "scatter")
-    judged = _joined(rows, table, ["g_lang", "g_source"]).withColumn("d2", _distance("e.") / F.col("e.scale"))
+    judged = _joined(rows, table, ["g_lang", "g_source"]).withColumn("d2", _own_distance("e") / F.col("e.scale"))
     return judged.select(
         "own.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(F.col("d2") <= CUTOFF, F.lit(True))).alias("kept"), "d2",

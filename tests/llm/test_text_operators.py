@@ -274,6 +274,31 @@ def test_quality_rejects_planted_outliers(spark):
     assert {i for i, kept in got.items() if not kept} == set(range(0, 1500, 50))
 
 
+def test_quality_rejects_repetition_but_not_one(spark):
+    """In a group without repetition: one repeated line or phrase stays; many lines or half of the words go."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(4, 8)))
+    line = lambda: [word() for _ in range(8)]
+    rows = []
+    for i in range(1200):
+        lines = [line() for _ in range(rng.randrange(15, 40))]
+        if i % 100 == 0:  # a third of the lines are the first two, short, over and over
+            lines = [x for k, x in enumerate(lines) if k % 3 or k == 0]
+            lines += [[w] for w in ("aaaa", "bbbb")] * (len(lines) // 4)
+        elif i % 100 == 1:  # just below the base rule
+            half = len(lines) // 4
+            lines = lines[: half] + lines[half : 2 * half] + lines[half : 2 * half] + [line() for _ in range(half)]
+        elif i % 100 == 2:
+            lines = [*lines, ["once"], ["once"]]
+        elif i % 100 == 3:
+            lines = [*lines, lines[0][:3]]
+        rows.append((i, "\n".join(" ".join(x) for x in lines), "en", "s", 0))
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(got[i].base_failed for i in got)
+    assert {i % 100 for i in got if not got[i].kept} == {0, 1}
+    assert not any(r.kept for i, r in got.items() if i % 100 < 2)
+
+
 def test_quality_distance_equals_numpy(spark):
     """The estimate and the distance of one concentration step, against numpy."""
     rng = np.random.default_rng(0)

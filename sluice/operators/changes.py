@@ -8,6 +8,8 @@ from pyspark.sql import Column as C
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans import workspace
+
 LSN, DELETED, SYNCED, UNCHANGED = "_cdc_lsn", "_cdc_deleted", "_cdc_synced_at", "_cdc_unchanged_cols"
 
 
@@ -131,21 +133,41 @@ def fill_unchanged(feed: DataFrame, keys: list[str], data: list[str], order: str
     return df.select(*columns)
 
 
-def row_identity(feed: DataFrame, key: str, old_key: str, order: str = "seq", rounds: int = 20) -> DataFrame:
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that rounds do not repeat one another."""
+    path = workspace.path(df.sparkSession, "moves")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def row_identity(feed: DataFrame, key: str, old_key: str, order: str = "seq") -> DataFrame:
     """``feed`` with ``row_id``: the first key of a row's chain of key moves in the window.
 
-    Moves are few against the feed, and only they are followed.
+    Moves are few against the feed, and only they are followed. Each round doubles how far every
+    key has been followed, until none goes further, so rounds grow with the logarithm of the chain.
+    Keys whose moves form a cycle have no first key; all take the smallest key of the cycle, and so
+    do the keys that were moved from it.
     """
     moves = feed.filter(F.col(old_key).isNotNull() & ~F.col(old_key).eqNullSafe(F.col(key))).groupBy(F.col(key).alias("_to")).agg(
         F.min_by(old_key, order).alias("_from")
     )
-    table = moves
-    for _ in range(rounds):
-        up = moves.select(F.col("_to").alias("_from"), F.col("_from").alias("_up"))
-        table_next = table.join(up, "_from", "left").select("_to", F.coalesce("_up", "_from").alias("_from"), F.col("_up").isNotNull().alias("_moved"))
-        if table_next.filter("_moved").isEmpty():
-            break
-        table = table_next.drop("_moved")
+    # _least is the smallest of the keys from _from's side of _to up to _from.
+    table = _written(moves.withColumn("_least", F.col("_from")))
+    reach, limit = 1, table.count()
+    while True:
+        up = table.select(F.col("_to").alias("_from"), F.col("_from").alias("_up"), F.col("_least").alias("_up_least"))
+        joined = table.join(up, "_from", "left")
+        table = _written(joined.select(
+            "_to", F.coalesce("_up", "_from").alias("_from"), F.least("_least", "_up_least").alias("_least"), F.col("_up").isNotNull().alias("_moved")
+        ))
+        reach *= 2
+        going = table.filter("_moved")
+        if going.isEmpty() or reach > limit:
+            break  # beyond as many steps as there are moves, only cycles go on
+        table = table.drop("_moved")
+    # A key that still goes on leads into a cycle: where it stands is on it, and from there all of it has been seen.
+    on = table.filter("_moved").select(F.col("_to").alias("_from"), F.col("_least").alias("_cycle"))
+    table = table.join(on, "_from", "left").select("_to", F.coalesce("_cycle", "_from").alias("_from"))
     return feed.join(table.withColumnRenamed("_to", key), key, "left").withColumn("row_id", F.coalesce("_from", key)).drop("_from")
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import cut
-from .tokens import encoder
+from .tokens import encoder, lots
 
 LOT_ROWS = 20_000
 PIECES = "doc_id long, row_key long, start long, length long, doc_tokens long, ids binary"
@@ -39,9 +39,9 @@ def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFra
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         for b in it:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                ids, ends = encode(part.column("text").to_pylist())
+            for at, size in lots(b.column("text")):
+                part = b.slice(at, size)
+                ids, ends = encode(part.column("text"))
                 ids = np.insert(ids, ends, end_id)
                 ends = ends + np.arange(1, len(ends) + 1)
                 sizes = np.diff(ends, prepend=0)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import files
 from .scratch import cut, new_path
-from .tokens import encoder
+from .tokens import encoder, lots
 
 #: Fixed values of zstandard's seekable format.
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -64,6 +64,8 @@ class Writer:
 
     def add(self, doc_ids: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
         """Documents whose ids are ``ids[ends[k - 1]:ends[k]]``."""
+        if len(ids) and int(ids.max()) > np.iinfo(self.kind).max:
+            raise ValueError(f"an id does not fit into {self.kind.itemsize} bytes: write with wide=True")
         ids = ids.astype(self.kind)
         sizes = np.diff(ends, prepend=0)
         begin = 0
@@ -150,9 +152,9 @@ def write(docs: DataFrame, tokenizer: str, out: str, end_id: int = 0, wide: bool
                 sink = files.create(path)
                 writer = Writer(sink, wide)
                 first = b.column("id")[0].as_py(), b.column("key")[0].as_py()
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                ids, ends = encode(part.column("text").to_pylist())
+            for at, n in lots(b.column("text")):
+                part = b.slice(at, n)
+                ids, ends = encode(part.column("text"))
                 ids = np.insert(ids, ends, end_id)
                 writer.add(part.column("id").to_numpy(), ids, ends + np.arange(1, len(ends) + 1))
         if writer is not None:

@@ -1,12 +1,14 @@
 """Byte-level BPE by merge replay over the words of many texts at once.
 
-The distinct words of a lot of texts form one corpus. An inverted index from
-token pair to the positions where the pair stands is built once; merges are then
-taken in rank order, each at all its positions, and only the pairs that touch a
-merged position are looked up again. A worker keeps the ids of the words and
-word pieces it has met, so that a word is merged once per worker. Words are not
-gathered across workers: that would shuffle every occurrence of every word,
-several times the size of the texts.
+The distinct words of a lot of texts (``tokens.BATCH_BYTES``, some thousand
+documents) form one corpus. An inverted index from token pair to the positions
+where the pair stands is built once; merges are then taken in rank order, each
+at all its positions at once, and only the pairs that touch a merged position
+are looked up again. Words in which an earlier merge becomes possible on the way
+are merged one by one. A worker keeps the ids of the word pieces it has met most,
+so that a frequent word is merged once per worker. Words are not gathered across
+workers: that would shuffle every distinct word of every lot, about the size of
+the texts, to spare work that is less than the shuffle.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes; any
 byte sequence can be encoded, since all 256 bytes have an id; rows that repeat
@@ -19,6 +21,7 @@ import base64
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import Encoder
+from .tokens import Encoder, gathered, lots
 
 #: Unicode white space, which the pattern of the rank files means by \s.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -51,119 +54,149 @@ class Replay:
 
     def __init__(self, rank_of: dict[bytes, int]):
         self.rank_of = rank_of
-        self.token = {i: t for t, i in rank_of.items()}
         self.byte_ids = np.array([rank_of[bytes([b])] for b in range(256)], dtype=np.int64)
-        self.pairs: dict[int, int] = {}
-
-    def _pair(self, left: int, right: int) -> int:
-        """Rank of the merge of two ids, or -1."""
+        pairs = []
+        for token, rank in rank_of.items():
+            for k in range(1, len(token)):
+                left, right = rank_of.get(token[:k]), rank_of.get(token[k:])
+                if left is not None and right is not None:
+                    pairs.append((left << 32 | right, rank))
+        pairs.sort()
+        self.pair_keys = np.array([k for k, _ in pairs], dtype=np.int64)
+        self.pair_ranks = np.array([r for _, r in pairs], dtype=np.int64)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the merge of each pair of ids, -1 where there is none."""
         key = left << 32 | right
-        rank = self.pairs.get(key)
-        if rank is None:
-            if len(self.pairs) > 300_000:  # bounds memory; pairs are looked up again
-                self.pairs.clear()
-            rank = self.pairs[key] = self.rank_of.get(self.token[left] + self.token[right], -1)
-        return rank
-
-    def words(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word, merged together."""
-        found: list = [None if (i := self.rank_of.get(w)) is None else [i] for w in words]
-        todo = [k for k, ids in enumerate(found) if ids is None and words[k]]
-        if todo:
-            for k, ids in zip(todo, self._merge([words[k] for k in todo])):
-                found[k] = ids
-        return [ids or [] for ids in found]
-
-    def _merge(self, words: list[bytes]) -> list[list[int]]:
-        raw = np.frombuffer(b"".join(words), np.uint8)
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], -1)
+
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of non-empty words, merged together, one after another, and the number of each."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
-        ids = self.byte_ids[raw]
-        follow = np.arange(1, len(raw) + 1)
-        before = np.arange(-1, len(raw) - 1)
+        starts = ends - sizes
+        ids = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        n = len(ids)
+        follow, before = np.arange(1, n + 1), np.arange(-1, n - 1)
         follow[ends - 1] = -1
-        before[ends - sizes] = -1
-        both = np.where(follow >= 0, ids << 32 | np.append(ids[1:], 0), -1)
-        kinds, kind = np.unique(both, return_inverse=True)
-        rank = np.array([-1 if k < 0 else self._pair(int(k) >> 32, int(k) & 0xFFFFFFFF) for k in kinds.tolist()])[kind]
-        order = np.argsort(rank, kind="stable")
-        order = order[np.searchsorted(rank[order], 0) :]
-        cuts = np.flatnonzero(np.diff(rank[order])) + 1
+        before[starts] = -1
+        rank = np.full(n, -1)
+        inner = np.flatnonzero(follow >= 0)
+        rank[inner] = self._ranks(ids[inner], ids[inner + 1])
         # The inverted index: rank of a pair -> positions of its left token.
-        index = {int(rank[p[0]]): p.tolist() for p in np.split(order, cuts) if len(p)}
-        heap = sorted(index)
-        ids, follow, before, rank = ids.tolist(), follow.tolist(), before.tolist(), rank.tolist()
-        pair = self._pair
+        index: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def post(places: np.ndarray, ranks: np.ndarray) -> None:
+            order = np.argsort(ranks, kind="stable")
+            places, ranks = places[order], ranks[order]
+            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            for r, p in zip(ranks[np.concatenate(([0], cuts))].tolist(), np.split(places, cuts)):
+                held = index.get(r)
+                if held is None:
+                    index[r] = [p]
+                    heapq.heappush(heap, r)
+                else:
+                    held.append(p)
+
+        able = np.flatnonzero(rank >= 0)
+        if len(able):
+            post(able, rank[able])
+        alive = np.ones(n, dtype=bool)
+        odd: list[np.ndarray] = []
         while heap:
             now = heapq.heappop(heap)
-            places = index.pop(now, None)
-            if places is None:
+            held = index.pop(now)
+            p = held[0] if len(held) == 1 else np.concatenate(held)
+            p = p[rank[p] == now]
+            if not len(p):
                 continue
-            places.sort()
-            for k, p in enumerate(places):
-                if rank[p] != now:
-                    continue
-                gone = follow[p]
-                after = follow[gone]
-                ids[p], rank[gone], follow[p] = now, -1, after
-                lower = False
-                if after >= 0:
-                    before[after] = p
-                    new = rank[p] = pair(now, ids[after])
-                    if new >= 0:
-                        if new in index:
-                            index[new].append(p)
-                        else:
-                            index[new] = [p]
-                            heapq.heappush(heap, new)
-                        lower = new < now
-                else:
-                    rank[p] = -1
-                left = before[p]
-                if left >= 0:
-                    new = rank[left] = pair(ids[left], now)
-                    if new >= 0:
-                        if new in index:
-                            index[new].append(left)
-                        else:
-                            index[new] = [left]
-                            heapq.heappush(heap, new)
-                        lower = lower or new < now
-                if lower:  # an earlier merge has become possible: it goes first
-                    if k + 1 < len(places):
-                        index.setdefault(now, []).extend(places[k + 1 :])
-                        heapq.heappush(heap, now)
-                    break
-        out = []
-        for begin in (ends - sizes).tolist():
-            own, at = [], begin
-            while at >= 0:
-                own.append(ids[at])
-                at = follow[at]
-            out.append(own)
-        return out
+            if len(p) > 1:
+                p.sort()  # a position between two merges may have been posted twice
+                p = p[np.concatenate(([True], p[1:] != p[:-1]))]
+                # Of pairs that share a token, the first, the third and so on are merged.
+                shared = follow[p[:-1]] == p[1:]
+                if shared.any():
+                    run = np.concatenate(([True], ~shared))
+                    first = np.flatnonzero(run)
+                    p = p[(np.arange(len(p)) - first[np.cumsum(run) - 1]) % 2 == 0]
+            gone = follow[p]
+            after = follow[gone]
+            # One by one, the merge at p comes before that of the token after it: is there a lower one in between?
+            beside = np.flatnonzero((after >= 0) & (rank[after] == now))
+            if len(beside):
+                between = self._ranks(np.full(len(beside), now), ids[after[beside]])
+                odd.append(np.searchsorted(ends, p[beside[(between >= 0) & (between < now)]], side="right"))
+            ids[p], rank[p], rank[gone], follow[p], alive[gone] = now, -1, -1, after, False
+            inside = after >= 0
+            before[after[inside]] = p[inside]
+            left = before[p]
+            # Only the pairs that touch a merged token are looked up again.
+            touched = np.concatenate([p[inside], left[left >= 0]])
+            if not len(touched):
+                continue
+            made = self._ranks(ids[touched], ids[follow[touched]])
+            rank[touched] = made
+            some = made >= 0
+            if some.any():
+                touched, made = touched[some], made[some]
+                if made.min() < now:  # an earlier merge has become possible: such words are done one by one
+                    odd.append(np.searchsorted(ends, touched[made < now], side="right"))
+                post(touched, made)
+        counts = np.add.reduceat(alive.astype(np.int64), starts) if n else np.zeros(0, np.int64)
+        out = ids[alive]
+        if any(map(len, odd)):
+            parts = np.split(out, np.cumsum(counts)[:-1])
+            for k in np.unique(np.concatenate(odd)).tolist():
+                parts[k] = np.array(self.one_by_one(words[k]), dtype=np.int64)
+            out = np.concatenate(parts)
+            counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        return out.astype(np.uint32), counts
+
+    def one_by_one(self, word: bytes) -> list[int]:
+        """Ids of one word by its lowest merge each time."""
+        parts = [bytes([b]) for b in word]
+        while len(parts) > 1:
+            ranks = [self.rank_of.get(a + b, len(self.rank_of)) for a, b in zip(parts, parts[1:])]
+            k = min(range(len(ranks)), key=ranks.__getitem__)
+            if ranks[k] == len(self.rank_of):
+                break
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        return [self.rank_of[x] for x in parts]
 
 
 class ReplayEncoder(Encoder):
     """Whole texts by ``Replay``, with the remembered pieces of ``Encoder``."""
 
-    memory = 600_000
-
     def __init__(self, path: str, split: str):
         self.replay = Replay(ranks(path))
         self.split = pattern(split)
-        self.words: dict[str, list[int]] = {}
         self._forget()
 
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        if len(self.words) > 150_000:  # bounds memory; words are merged again
-            self.words.clear()
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        listed = words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        own = np.fromiter(map(self.replay.rank_of.get, listed, repeat(-1)), np.int64, len(listed))
+        todo = np.flatnonzero(own < 0)
+        sizes = np.ones(len(listed), dtype=np.int64)
+        if not len(todo):
+            return own.astype(np.uint32), sizes
+        flat, sizes[todo] = self.replay.merge([listed[k] for k in todo.tolist()])
+        merged = np.repeat(own < 0, sizes)
+        ids = np.empty(len(merged), dtype=np.uint32)
+        ids[merged], ids[~merged] = flat, own[own >= 0]
+        return ids, sizes
+
+    def _split(self, piece: str) -> list[str]:
+        return self.split.findall(piece)
+
+    def _texts(self, texts: list[str]) -> list[list[int]]:
         parts = [self.split.findall(t) for t in texts]
-        new = list(dict.fromkeys(w for words in parts for w in words if w not in self.words))
-        self.words.update(zip(new, self.replay.words([w.encode() for w in new])))
-        return [[i for w in words for i in self.words[w]] for words in parts]
-
-    _pieces = _library
+        words = pa.array([w for own in parts for w in own], pa.string()).dictionary_encode()
+        flat, sizes = self._words(words.dictionary)
+        ids, each = gathered(flat, np.concatenate(([0], np.cumsum(sizes))), words.indices.to_numpy())
+        stops = np.concatenate(([0], np.cumsum(each)))[np.cumsum([len(p) for p in parts])]
+        return np.split(ids, stops[:-1])
 
 
 @lru_cache(maxsize=2)
@@ -172,37 +205,50 @@ def replay_encoder(path: str, split: str) -> ReplayEncoder:
     return ReplayEncoder(path, split)
 
 
-def encode(docs: DataFrame, rank_file: str, split: str = public_tokenizers.PATTERN) -> DataFrame:
-    """``doc_id, ids``: the ids of each text as little-endian unsigned 32-bit integers."""
-
+def _encoding(rank_file: str, split: str):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = replay_encoder(rank_file, split)
         for b in it:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                ids, ends = own.encode(part.column("text").to_pylist())
+            for at, n in lots(b.column("text")):
+                part = b.slice(at, n)
+                ids, ends = own.encode(part.column("text"))
                 offsets = np.concatenate(([0], ends)) * 4
                 values = pa.Array.from_buffers(
-                    pa.binary(), part.num_rows, [None, pa.py_buffer(offsets.astype("<i4")), pa.py_buffer(ids.astype("<u4"))]
-                )
+                    pa.large_binary(), n, [None, pa.py_buffer(offsets.astype("<i8")), pa.py_buffer(ids.astype("<u4"))]
+                ).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), values], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
+    return run
 
 
-def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
-    """``doc_id, ids, decoded``: the bytes that the ids of each row stand for."""
-
+def _decoding(rank_file: str):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = [t for t, _ in sorted(ranks(rank_file).items(), key=lambda x: x[1])]
         for whole in it:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
-                rows = b.column("ids").to_pylist()
-                texts = [b"".join(map(table.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in rows]
+            for at, n in lots(whole.column("ids")):
+                b = whole.slice(at, n)
+                texts = [b"".join(map(table.__getitem__, np.frombuffer(x.as_buffer() or b"", "<u4").tolist())) for x in b.column("ids")]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
+    return run
+
+
+def encode(docs: DataFrame, rank_file: str, split: str = public_tokenizers.PATTERN) -> DataFrame:
+    """``doc_id, ids``: the ids of each text as little-endian unsigned 32-bit integers."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(_encoding(rank_file, split), "doc_id long, ids binary")
+
+
+def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
+    """``doc_id, ids, decoded``: the bytes that the ids of each row stand for; null ids stand for none."""
+    return encoded.select("doc_id", "ids").mapInArrow(_decoding(rank_file), "doc_id long, ids binary, decoded binary")
+
+
+def round_trip(docs: DataFrame, rank_file: str, split: str = public_tokenizers.PATTERN) -> DataFrame:
+    """``decode(encode(docs))`` in one Python worker, so that the ids cross to it only once."""
+    encoding, decoding = _encoding(rank_file, split), _decoding(rank_file)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(lambda it: decoding(encoding(it)), "doc_id long, ids binary, decoded binary")
 
 
 def digest(decoded: DataFrame) -> DataFrame:

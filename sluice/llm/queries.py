@@ -10,10 +10,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pii_key(spark: SparkSession) -> str:
+    """The secret of ``spark.sluice.pii.key``; the queries here run without one under a key that is none."""
+    return spark.conf.get("spark.sluice.pii.key", "not-a-secret")
+
+
 def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import pseudonymise
 
-    return pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), count="n_replaced")
+    return pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), pii_key(spark), count="n_replaced")
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,10 +40,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .bpe import decode, digest, encode
+    from .bpe import digest, round_trip
 
-    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return digest(decode(encode(_table(spark, sf_dir, "documents"), ranks), ranks))
+    return digest(round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

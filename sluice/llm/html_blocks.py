@@ -18,11 +18,15 @@ BOILERPLATE = set("nav footer aside form head title menu dialog search button se
 ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 #: Words that class names and ids of boilerplate have as a whole or as their first part.
 HINTS = set(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner "
-    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside widget widgets "
-    "footer masthead topbar cookie cookies consent gdpr notice notices alert popup modal overlay "
-    "comment comments commentlist disqus respond replies share sharing social related recommended "
-    "newsletter subscribe subscription signup login form search skip copyright legal".split()
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored "
+    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside "
+    "footer masthead topbar cookie cookies consent gdpr popup modal overlay "
+    "comment comments commentlist disqus respond replies "
+    "newsletter subscribe subscription signup login search skip".split()
+)
+#: Words that boilerplate and main text both have: what the host's pages repeat decides.
+VAGUE = set(
+    "alert banner copyright form legal notice notices promo promotion recommended related share sharing social widget widgets".split()
 )
 
 _TOKEN = re.compile(
@@ -33,9 +37,12 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _PART = re.compile(r"[a-z0-9]+")
 
 ARTICLE, MAIN, OUTSIDE, DROPPED = "article", "main", "outside", "dropped"
+#: Places of text under a vague class name, by what it stands in.
+SUSPECT = {place: f"suspect in {place}" for place in (ARTICLE, MAIN, OUTSIDE)}
 
 
-def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+def _verdict(tag: str, attributes: str, in_article: bool) -> bool | None:
+    """True: boilerplate; None: perhaps; False: nothing speaks for it."""
     if tag in BOILERPLATE or tag == "header" and not in_article:
         return True
     if not attributes or attributes.isspace() or tag in ("html", "body", "article", "main") and "comment" not in attributes.lower():
@@ -47,11 +54,9 @@ def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none", found.get("style", "")):
         return True
-    for name in (found.get("class", "") + " " + found.get("id", "")).lower().split():
-        first = _PART.search(name)
-        if first and (first[0] in HINTS):
-            return True
-    return False
+    names = (found.get("class", "") + " " + found.get("id", "")).lower().split()
+    firsts = {first[0] for first in map(_PART.search, names) if first}
+    return True if firsts & HINTS else None if firsts & VAGUE else False
 
 
 def blocks(html: str | None) -> list[tuple[str, str, float]]:
@@ -118,8 +123,13 @@ def blocks(html: str | None) -> list[tuple[str, str, float]]:
                 place = stack[-1][1] if stack else OUTSIDE
         inner = place
         if place != DROPPED:
-            if _is_boilerplate(tag, m[4], place == ARTICLE):
+            verdict = _verdict(tag, m[4], place in (ARTICLE, SUSPECT[ARTICLE]))
+            if verdict:
                 inner = DROPPED
+            elif place not in SUSPECT:  # what stands in a suspect element is suspect
+                pass
+            elif verdict is None:
+                inner = SUSPECT[place]
             elif tag == "article":
                 inner = ARTICLE
             elif place != ARTICLE and (tag == "main" or re.search(r"\brole\s*=\s*[\"']?main\b", m[4])):
@@ -134,24 +144,37 @@ def blocks(html: str | None) -> list[tuple[str, str, float]]:
     return out
 
 
-def divide(html: str | None) -> tuple[str | None, list[str], list[int]]:
-    """Main text where the page marks it, the words outside of it, and the block of each such word.
+SURE, OPEN, DOUBTFUL = 0, 1, 2
+
 
-    Without a mark, words outside the boilerplate have their block's number and
-    may be main text; other words have -1.
+def divide(html: str | None) -> tuple[list[str], list[int], list[str], list[int], list[str]]:
+    """``(texts, states, words, owner, outside)`` of one page.
+
+    ``texts`` are the blocks that may be main text, in page order, and ``states`` what is known of each:
+    SURE (in the element that marks main text), OPEN (the page marks none, and nothing speaks against
+    the block) or DOUBTFUL (under a vague class name). ``words`` are all words outside sure blocks, and
+    ``owner`` the number in ``texts`` of each word's block, -1 for boilerplate. ``outside`` are the blocks
+    outside the element that marks main text, none where no element does.
     """
     found = blocks(html)
     mark = next((p for p in (ARTICLE, MAIN) if any(place == p for place, _, _ in found)), None)
-    main = None
-    if mark:
-        main = "\n".join(text for place, text, _ in found if place == mark)
+    states_of = {mark: SURE, SUSPECT[mark]: DOUBTFUL} if mark else {OUTSIDE: OPEN, SUSPECT[OUTSIDE]: DOUBTFUL}
+    texts: list[str] = []
+    states: list[int] = []
     words: list[str] = []
     owner: list[int] = []
-    for k, (place, text, linked) in enumerate(found):
-        if mark and place == mark:
-            continue
-        own = text.split(" ")
-        words += own
-        open_ = mark is None and place == OUTSIDE and linked < 0.8
-        owner += [k if open_ else -1] * len(own)
-    return main, words, owner
+    outside: list[str] = []
+    for place, text, linked in found:
+        state = states_of.get(place)
+        if state == OPEN and linked >= 0.8:
+            state = None
+        if state is not None:
+            texts.append(text)
+            states.append(state)
+        if mark and state is None:
+            outside.append(text)
+        if state != SURE:
+            own = text.split(" ")
+            words += own
+            owner += [-1 if state is None else len(texts) - 1] * len(own)
+    return texts, states, words, owner, outside

@@ -1,22 +1,31 @@
-"""Main text of HTML pages: page structure, and host-wide repeated runs.
+"""Main text of HTML pages: page structure, and what the pages of a host repeat.
 
 A page's elements tell most of it: what an ``article`` or ``main`` element
-holds is main text; menus, headers, footers, sidebars, notices, adverts, forms,
-scripts and comments are not. What neither covers is judged by the host: the
-token streams outside the marked main text of all pages of a host are searched
-for substrings of at least ``RUN`` tokens that stand on ``PAGES`` pages with
-different streams; tokens covered by such a run are boilerplate, unique runs
-stay.
-
-Two suffixes of a suffix array share a substring of ``RUN`` tokens exactly if
-their first ``RUN`` tokens agree, so the array is kept by the hash of those
-tokens: suffixes are grouped by host and hash with map-side combination, and a
-host of any size is never sorted in one task. Marked main text is not part of
-the streams: passages that articles share are content.
+holds is main text; menus, headers, footers, sidebars, adverts, forms, scripts
+and comments are not. The host's pages decide the rest.
+
+Runs: the token streams outside the marked main text of all pages of a host are
+searched for substrings of at least ``RUN`` tokens that stand on ``PAGES``
+different pages. Tokens of open blocks (the page marks no main text) and of
+doubtful ones (class names such as ``notice`` or ``share``, in marked text too)
+that such a run covers are boilerplate, unique runs stay. Doubtful blocks of
+hosts with fewer pages are left out. Two suffixes of a suffix array share a
+substring of ``RUN`` tokens exactly if their first ``RUN`` tokens agree, so the
+array is kept by a hash of those tokens: suffixes are grouped by host and hash
+with map-side combination, and a host of any size is never sorted in one task.
+
+Leaks: a block of marked main text is boilerplate if the same block stands
+outside the marked text of ``PAGES`` pages of the host and within that of
+``PAGES`` pages. Passages that articles share with each other only are content,
+and so is a text that others quote as a teaser.
+
+Pages count as different by all their words; of unmarked pages near copies
+(``similar``) count once, or copies of one text would look like boilerplate.
 
 Defined cases: a null page has an empty text; a null url belongs to the host of
-the empty name; pages that repeat an id are extracted one by one; an empty
-table gives an empty one.
+the empty name; pages that repeat an id are extracted one by one, a page that is
+there twice counts once as evidence; other columns of ``pages`` are not read; an
+empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -28,19 +37,44 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .html_blocks import divide
+from .html_blocks import DOUBTFUL, OPEN, SURE, divide
 from .scratch import cut
+from .similar import near_copies
 
 RUN, PAGES = 8, 3
-_PARSED = "page_id long, url string, main string, words array<string>, owner array<int>, suffixes array<long>, stream long"
+_PARSED = (
+    "page_id long, url string, texts array<string>, states array<int>, words array<string>, owner array<int>, "
+    "suffixes array<long>, inside array<long>, outside array<long>, page long"
+)
 
 
-def _signed(x: int) -> int:
+def _hash(text: str) -> int:
+    x = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
     return x - (1 << 64) if x >> 63 else x
 
 
+def _spans(owner: list[int]) -> list[tuple[int, int, int]]:
+    """``(first word, words, block)`` of each run of words of one block that may be main text."""
+    out = []
+    k = 0
+    while k < len(owner):
+        stop = k + 1
+        while stop < len(owner) and owner[stop] == owner[k]:
+            stop += 1
+        if owner[k] >= 0:
+            out.append((k, stop - k, owner[k]))
+        k = stop
+    return out
+
+
+def runs(words: list[str], owner: list[int], run: int) -> list[tuple[int, int]]:
+    """``(first word, words)`` of what is searched for: every run of ``run`` words, and shorter blocks as a whole."""
+    every = [(k, run) for k in range(len(words) - run + 1)]
+    return every + [(k, n) for k, n, _ in _spans(owner) if n < run]
+
+
 def parse(pages: DataFrame, run: int = RUN) -> DataFrame:
-    """Each page's marked text, the words outside of it and the hashes of its suffixes' first tokens."""
+    """Each page's blocks, its words outside marked text with the hashes of their runs, and the hashes of its blocks."""
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -48,35 +82,42 @@ def parse(pages: DataFrame, run: int = RUN) -> DataFrame:
                 part = b.slice(at, 1000)
                 rows = []
                 for html in part.column("html").to_pylist():
-                    main, words, owner = divide(html)
-                    suffixes = [
-                        _signed(xxhash.xxh64_intdigest(" ".join(words[k : k + run]).encode("utf-8", "surrogatepass")))
-                        for k in range(len(words) - run + 1)
-                    ]
-                    stream = _signed(xxhash.xxh64_intdigest(" ".join(words).encode("utf-8", "surrogatepass")))
-                    rows.append((main, words if main is None else [], owner if main is None else [], suffixes, stream))
-                kinds = (pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64())
+                    texts, states, words, owner, outside = divide(html)
+                    suffixes = [_hash(" ".join(words[k : k + n])) for k, n in runs(words, owner, run)]
+                    inside = [_hash(t) for t, state in zip(texts, states) if state == SURE]
+                    page = _hash("\n".join(texts) + "\0" + " ".join(words))
+                    some = any(state != SURE for state in states)
+                    rows.append((texts, states, words if some else [], owner if some else [], suffixes, inside, [_hash(t) for t in outside], page))
+                words_, numbers, longs = pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int64())
+                kinds = (words_, numbers, words_, numbers, longs, longs, longs, pa.int64())
                 made = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-                names = ["page_id", "url", "main", "words", "owner", "suffixes", "stream"]
+                names = ["page_id", "url", "texts", "states", "words", "owner", "suffixes", "inside", "outside", "page"]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), *made], names)
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html").mapInArrow(task, _PARSED)
 
 
-def _unique(run: int):
-    """Task that leaves out covered words and joins the rest by block."""
+def _unique(run: int, least_pages: int):
+    """Task that leaves out covered words of open and doubtful blocks, and leaked blocks, and joins the rest."""
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            texts = []
-            for words, owner, hits in zip(*(b.column(k).to_pylist() for k in ("words", "owner", "hits"))):
-                covered = {k for h in hits or () for k in range(h, h + run)}
-                parts: dict[int, list[str]] = {}
-                for k, (word, own) in enumerate(zip(words, owner)):
-                    if own >= 0 and k not in covered:
-                        parts.setdefault(own, []).append(word)
-                texts.append("\n".join(" ".join(p) for p in parts.values()))
-            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+            out = []
+            columns = ("texts", "states", "words", "owner", "hits", "leaked", "pages")
+            for texts, states, words, owner, hits, leaked, pages in zip(*(b.column(k).to_pylist() for k in columns)):
+                searched = runs(words, owner, run)
+                covered = {k for h in hits or () for k in range(searched[h][0], sum(searched[h]))}
+                rest: dict[int, list[str]] = {}
+                for k, n, block in _spans(owner):
+                    if states[block] == OPEN or (pages or 0) >= least_pages:
+                        rest[block] = [words[j] for j in range(k, k + n) if j not in covered]
+                kept = [
+                    text if state == SURE else " ".join(rest.get(k, ()))
+                    for k, (text, state) in enumerate(zip(texts, states))
+                    if k not in (leaked or ())
+                ]
+                out.append("\n".join(t for t in kept if t))
+            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
     return task
 
@@ -85,19 +126,51 @@ def extract(pages: DataFrame, run: int = RUN, least_pages: int = PAGES) -> DataF
     """``page_id, url, text, n_chars`` of every page."""
     parsed = parse(pages, run).withColumn("row", F.monotonically_increasing_id())
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    parsed = cut(parsed.withColumn("host", host), "pages")
-    open_pages = parsed.filter("main is null")
-    suffixes = parsed.select("host", "stream", F.explode("suffixes").alias("suffix"))
-    repeated = (
-        suffixes.distinct().groupBy("host", "suffix").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= least_pages)
-    )
+    some = lambda state: F.exists("states", lambda x: x == state)
+    parsed = parsed.withColumn("host", host).withColumn("unmarked", some(OPEN)).withColumn("undecided", some(OPEN) | some(DOUBTFUL))
+    parsed = cut(parsed, "pages")
+    evidence = _evidence(parsed)
+    undecided = parsed.filter("undecided")
+    enough = F.col("pages") >= least_pages
+    repeated = evidence.select("host", "body", F.explode("suffixes").alias("suffix")).distinct()
+    repeated = repeated.groupBy("host", "suffix").agg(F.count(F.lit(1)).alias("pages")).filter(enough)
     hits = (
-        open_pages.select("row", "host", F.posexplode("suffixes").alias("at", "suffix"))
+        undecided.select("row", "host", F.posexplode("suffixes").alias("at", "suffix"))
         .join(repeated.select("host", "suffix"), ["host", "suffix"])
         .groupBy("row")
-        .agg(F.collect_list("at").alias("hits"))  # at most one per word of the page
+        .agg(F.collect_list("at").alias("hits"))  # at most one per word of the page and block
     )
-    judged = open_pages.select("row", "page_id", "url", "words", "owner").join(hits, "row", "left")
-    rest = judged.select("page_id", "url", "words", "owner", "hits").mapInArrow(_unique(run), "page_id long, url string, text string")
-    marked = parsed.filter("main is not null").select("page_id", "url", F.col("main").alias("text"))
+    sizes = evidence.select("host", "body").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    leaks = cut(_leaks(parsed, evidence, least_pages), "leaks")  # written down, its size is known to the joins
+    texts = F.when(F.col("leaked").isNull(), F.col("texts")).otherwise(F.filter("texts", lambda _, k: ~F.array_contains("leaked", k)))
+    marked = parsed.filter("not undecided").select("row", "page_id", "url", "texts").join(leaks, "row", "left")
+    marked = marked.select("page_id", "url", F.array_join(texts, "\n").alias("text"))
+    judged = undecided.join(hits, "row", "left").join(leaks, "row", "left").join(sizes, "host", "left")
+    judged = judged.select("page_id", "url", "texts", "states", "words", "owner", "hits", "leaked", "pages")
+    rest = judged.mapInArrow(_unique(run, least_pages), "page_id long, url string, text string")
     return marked.unionByName(rest).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _evidence(parsed: DataFrame) -> DataFrame:
+    """``parsed`` with ``body``: what tells different pages apart."""
+    unmarked = parsed.filter("unmarked").select(F.col("row").alias("doc_id"), F.array_join("texts", " ").alias("text"))
+    if unmarked.isEmpty():
+        return parsed.withColumn("body", F.col("page"))
+    first = near_copies(unmarked).select(F.col("doc_id").alias("row"), "component_id")
+    joined = parsed.join(cut(first, "bodies"), "row", "left")
+    return joined.withColumn("body", F.coalesce(F.xxhash64(F.lit("copies"), "component_id", F.when(F.col("component_id").isNull(), F.col("page")))))
+
+
+def _leaks(parsed: DataFrame, evidence: DataFrame, least_pages: int) -> DataFrame:
+    """``row, leaked``: numbers of the blocks of marked text that the host shows to be boilerplate."""
+    blocks = lambda column, inside: evidence.select(
+        "host", "body", F.explode(column).alias("block"), F.lit(inside).alias("inside")
+    )
+    seen = blocks("inside", 1).unionByName(blocks("outside", 0)).distinct()
+    counts = seen.groupBy("host", "block").agg(F.sum("inside").alias("within"), F.sum(1 - F.col("inside")).alias("without"))
+    leaked = counts.filter((F.col("within") >= least_pages) & (F.col("without") >= least_pages)).select("host", "block")
+    # The numbers in ``texts`` of the sure blocks, whose hashes ``inside`` has in the same order.
+    number = F.filter(F.transform("states", lambda x, k: F.when(x == SURE, k)), lambda k: k.isNotNull())
+    own = parsed.select("row", "host", F.posexplode("inside").alias("at", "block"), number.alias("number"))
+    found = own.join(leaked, ["host", "block"]).select("row", F.element_at("number", F.col("at") + 1).alias("k"))
+    return found.groupBy("row").agg(F.sort_array(F.collect_list("k")).alias("leaked"))

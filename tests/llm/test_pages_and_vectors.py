@@ -82,10 +82,11 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p><article
 
 
 def test_html_structure():
-    main, words, _ = divide(PAGE)
-    assert main == "Head & more\nFirst bold line two\nSecond <x>\none\ntwo"
+    texts, states, words, owner, outside = divide(PAGE)
+    assert texts == ["Head & more", "First bold line two", "Second <x>", "one", "two", "Tweet"] and states == [0] * 5 + [2]
     assert "Home" in words and "Reader" in words and "Head" not in words
-    assert divide(None)[0] is None and divide("")[1] == []
+    assert [w for w, o in zip(words, owner) if o == 5] == ["Tweet"] and "Side" in outside and "Tweet" not in outside
+    assert divide(None) == divide("") == ([], [], [], [], [])
     assert [t for _, t, _ in blocks("plain <i>text</i> a &lt b < c")] == ["plain text a < b < c"]
 
 
@@ -97,28 +98,73 @@ def test_html_keeps_passages_that_articles_share(spark):
 
 
 def brute(rows, run, least):
-    """Covered words of pages without a mark, by comparing all runs of a host."""
-    streams = collections.defaultdict(lambda: collections.defaultdict(set))
+    """Every page's text, by comparing all runs and all blocks of a host with each other."""
+    streams = collections.defaultdict(set)
+    places = collections.defaultdict(lambda: (set(), set()))
+    bodies = collections.defaultdict(set)
     parsed = {}
     for i, url, html in rows:
         host = (url or "").partition("://")[2].split("/")[0].lower()
-        main, words, owner = divide(html)
-        parsed[i] = host, main, words, owner
+        texts, states, words, owner, outside = divide(html)
+        parsed[i] = host, texts, states, words, owner
+        body = tuple(texts), tuple(words)
+        bodies[host].add(body)
         for k in range(len(words) - run + 1):
-            streams[host][tuple(words[k : k + run])].add(tuple(words))
+            streams[host, tuple(words[k : k + run])].add(body)
+        for k, state in enumerate(states):
+            short = " ".join(w for w, o in zip(words, owner) if o == k)
+            if state and len(short.split(" ")) < run:
+                streams[host, short].add(body)
+            if not state:
+                places[host, texts[k]][0].add(body)
+        for t in outside:
+            places[host, t][1].add(body)
     out = {}
-    for i, (host, main, words, owner) in parsed.items():
-        if main is None:
-            covered = {k + j for k in range(len(words) - run + 1) if len(streams[host][tuple(words[k : k + run])]) >= least for j in range(run)}
-            parts = collections.OrderedDict()
-            for k, (w, o) in enumerate(zip(words, owner)):
-                if o >= 0 and k not in covered:
-                    parts.setdefault(o, []).append(w)
-            main = "\n".join(" ".join(p) for p in parts.values())
-        out[i] = main
+    for i, (host, texts, states, words, owner) in parsed.items():
+        covered = {k + j for k in range(len(words) - run + 1) if len(streams[host, tuple(words[k : k + run])]) >= least for j in range(run)}
+        kept = []
+        for k, (text, state) in enumerate(zip(texts, states)):
+            if not state:
+                kept.append("" if min(map(len, places[host, text])) >= least else text)
+                continue
+            own = [j for j, o in enumerate(owner) if o == k]
+            gone = len(own) < run and len(streams[host, " ".join(words[j] for j in own)]) >= least
+            gone = gone or state == 2 and len(bodies[host]) < least
+            kept.append("" if gone else " ".join(words[j] for j in own if j not in covered))
+        out[i] = "\n".join(t for t in kept if t)
     return out
 
 
+def texts_of(spark, rows):
+    return {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_html_host_decides_on_marked_pages(spark):
+    share, advice = "share this page with all of your friends today", "this notice tells what only this one article is about and no other"
+    teaser = "opening words of the third article that others quote as a teaser"
+    footer = "write to the editors of this site for any reason at all"
+    rows = []
+    for i in range(6):
+        inner = f"<p>own text of page {i} here</p><div class='share'>{share}</div><div class='notice'>{advice} {i} {'x' * i}</div>"
+        inner += f"<p>{footer}</p>" if i < 3 else ""
+        inner += f"<p>{teaser}</p>" if i == 3 else ""
+        around = f"<p>{footer}</p>" * (i >= 3) + f"<p>{teaser}</p>" * (i != 3)
+        rows.append((i, f"http://h/{i}", f"<body><article>{inner}</article><div>{around}</div></body>"))
+    rows.append((9, "http://alone/", "<body><article><p>a</p><div class='share'>b</div></article></body>"))
+    got = texts_of(spark, rows)
+    assert got == brute(rows, html_text.RUN, html_text.PAGES)
+    assert share not in "".join(got.values()) and footer not in "".join(got.values()) and teaser in got[3] and got[9] == "a"
+
+
+def test_html_near_copies_without_marks_stay(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(5000)]
+    body = list(rng.choice(words, 200))
+    rows = [(i, f"http://h/{i}", "<body><p>" + " ".join([*body[:150], f"n{i}", *body[150:]]) + "</p></body>") for i in range(6)]
+    got = texts_of(spark, rows)
+    assert all(got[i].split(" ") == [*body[:150], f"n{i}", *body[150:]] for i in range(6))
+
+
 def test_html_repeated_runs_equal_brute_force(spark):
     rng = np.random.default_rng(4)
     words = [f"w{k}" for k in range(400)]
@@ -133,6 +179,15 @@ def test_html_repeated_runs_equal_brute_force(spark):
     assert got == brute(rows, html_text.RUN, html_text.PAGES)
 
 
+def test_html_odd_pages(spark):
+    long = " ".join(f"t{k}" for k in range(60_000))
+    rows = [(1, "http://h/", f"<article><p>{long}</p></article>"), (1, "http://h/", f"<article><p>{long}</p></article>"), (2, "x", "<p>a<p>b</div></p><b>c"), (3, "x", "<article><ul><li>a<li>b</article>c")]
+    schema = "page_id long, url string, html string, row long, host string, text string, page string"
+    got = html_text.extract(spark.createDataFrame([(*r, 1, "h", "t", "p") for r in rows], schema)).collect()
+    assert sorted((r.page_id, r.text) for r in got) == [(1, long), (1, long), (2, "a\nb\nc"), (3, "a\nb")]
+    assert got[0].__fields__ == ["page_id", "url", "text", "n_chars"]
+
+
 def test_html_on_the_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     got = html_text.extract(pages).collect()

@@ -36,7 +36,8 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PART = re.compile(r"[a-z0-9]+")
 
-ARTICLE, MAIN, OUTSIDE, DROPPED = "article", "main", "outside", "dropped"
+#: HEAD is no part of the page: its title often repeats the heading of the text.
+ARTICLE, MAIN, OUTSIDE, DROPPED, HEAD = "article", "main", "outside", "dropped", "head"
 #: Places of text under a vague class name, by what it stands in.
 SUSPECT = {place: f"suspect in {place}" for place in (ARTICLE, MAIN, OUTSIDE)}
 
@@ -70,7 +71,7 @@ def blocks(html: str | None) -> list[tuple[str, str, float]]:
     def flush():
         nonlocal linked
         text = " ".join("".join(held).split())
-        if text:
+        if text and place != HEAD:
             out.append((place, text, linked / len(text)))
         held.clear()
         linked = 0
@@ -122,7 +123,9 @@ def blocks(html: str | None) -> list[tuple[str, str, float]]:
                 del stack[depth:]
                 place = stack[-1][1] if stack else OUTSIDE
         inner = place
-        if place != DROPPED:
+        if tag in ("head", "title"):
+            inner = HEAD
+        elif place not in (DROPPED, HEAD):
             verdict = _verdict(tag, m[4], place in (ARTICLE, SUSPECT[ARTICLE]))
             if verdict:
                 inner = DROPPED
@@ -147,14 +150,13 @@ def blocks(html: str | None) -> list[tuple[str, str, float]]:
 SURE, OPEN, DOUBTFUL = 0, 1, 2
 
 
-def divide(html: str | None) -> tuple[list[str], list[int], list[str], list[int], list[str]]:
-    """``(texts, states, words, owner, outside)`` of one page.
+def divide(html: str | None) -> tuple[list[str], list[int], list[str], list[int]]:
+    """``(texts, states, words, owner)`` of one page.
 
     ``texts`` are the blocks that may be main text, in page order, and ``states`` what is known of each:
     SURE (in the element that marks main text), OPEN (the page marks none, and nothing speaks against
     the block) or DOUBTFUL (under a vague class name). ``words`` are all words outside sure blocks, and
-    ``owner`` the number in ``texts`` of each word's block, -1 for boilerplate. ``outside`` are the blocks
-    outside the element that marks main text, none where no element does.
+    ``owner`` the number in ``texts`` of each word's block, -1 for boilerplate.
     """
     found = blocks(html)
     mark = next((p for p in (ARTICLE, MAIN) if any(place == p for place, _, _ in found)), None)
@@ -163,7 +165,6 @@ def divide(html: str | None) -> tuple[list[str], list[int], list[str], list[int]
     states: list[int] = []
     words: list[str] = []
     owner: list[int] = []
-    outside: list[str] = []
     for place, text, linked in found:
         state = states_of.get(place)
         if state == OPEN and linked >= 0.8:
@@ -171,10 +172,8 @@ def divide(html: str | None) -> tuple[list[str], list[int], list[str], list[int]
         if state is not None:
             texts.append(text)
             states.append(state)
-        if mark and state is None:
-            outside.append(text)
         if state != SURE:
             own = text.split(" ")
             words += own
             owner += [-1 if state is None else len(texts) - 1] * len(own)
-    return texts, states, words, owner, outside
+    return texts, states, words, owner

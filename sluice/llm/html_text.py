@@ -14,10 +14,9 @@ substring of ``RUN`` tokens exactly if their first ``RUN`` tokens agree, so the
 array is kept by a hash of those tokens: suffixes are grouped by host and hash
 with map-side combination, and a host of any size is never sorted in one task.
 
-Leaks: a block of marked main text is boilerplate if the same block stands
-outside the marked text of ``PAGES`` pages of the host and within that of
-``PAGES`` pages. Passages that articles share with each other only are content,
-and so is a text that others quote as a teaser.
+Sure blocks of marked main text are left alone, whatever the host repeats:
+passages that articles share are content, and so are sentences that adverts and
+footers of other pages quote.
 
 Pages count as different by all their words; of unmarked pages near copies
 (``similar``) count once, or copies of one text would look like boilerplate.
@@ -44,7 +43,7 @@ from .similar import near_copies
 RUN, PAGES = 8, 3
 _PARSED = (
     "page_id long, url string, texts array<string>, states array<int>, words array<string>, owner array<int>, "
-    "suffixes array<long>, inside array<long>, outside array<long>, page long"
+    "suffixes array<long>, page long"
 )
 
 
@@ -74,7 +73,7 @@ def runs(words: list[str], owner: list[int], run: int) -> list[tuple[int, int]]:
 
 
 def parse(pages: DataFrame, run: int = RUN) -> DataFrame:
-    """Each page's blocks, its words outside marked text with the hashes of their runs, and the hashes of its blocks."""
+    """Each page's blocks, and its words outside sure ones with the hashes of their runs."""
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -82,40 +81,35 @@ def parse(pages: DataFrame, run: int = RUN) -> DataFrame:
                 part = b.slice(at, 1000)
                 rows = []
                 for html in part.column("html").to_pylist():
-                    texts, states, words, owner, outside = divide(html)
+                    texts, states, words, owner = divide(html)
                     suffixes = [_hash(" ".join(words[k : k + n])) for k, n in runs(words, owner, run)]
-                    inside = [_hash(t) for t, state in zip(texts, states) if state == SURE]
                     page = _hash("\n".join(texts) + "\0" + " ".join(words))
                     some = any(state != SURE for state in states)
-                    rows.append((texts, states, words if some else [], owner if some else [], suffixes, inside, [_hash(t) for t in outside], page))
+                    rows.append((texts, states, words if some else [], owner if some else [], suffixes, page))
                 words_, numbers, longs = pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int64())
-                kinds = (words_, numbers, words_, numbers, longs, longs, longs, pa.int64())
+                kinds = (words_, numbers, words_, numbers, longs, pa.int64())
                 made = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-                names = ["page_id", "url", "texts", "states", "words", "owner", "suffixes", "inside", "outside", "page"]
+                names = ["page_id", "url", "texts", "states", "words", "owner", "suffixes", "page"]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), *made], names)
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html").mapInArrow(task, _PARSED)
 
 
 def _unique(run: int, least_pages: int):
-    """Task that leaves out covered words of open and doubtful blocks, and leaked blocks, and joins the rest."""
+    """Task that leaves out covered words of open and doubtful blocks and joins the rest."""
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             out = []
-            columns = ("texts", "states", "words", "owner", "hits", "leaked", "pages")
-            for texts, states, words, owner, hits, leaked, pages in zip(*(b.column(k).to_pylist() for k in columns)):
+            columns = ("texts", "states", "words", "owner", "hits", "pages")
+            for texts, states, words, owner, hits, pages in zip(*(b.column(k).to_pylist() for k in columns)):
                 searched = runs(words, owner, run)
                 covered = {k for h in hits or () for k in range(searched[h][0], sum(searched[h]))}
                 rest: dict[int, list[str]] = {}
                 for k, n, block in _spans(owner):
                     if states[block] == OPEN or (pages or 0) >= least_pages:
                         rest[block] = [words[j] for j in range(k, k + n) if j not in covered]
-                kept = [
-                    text if state == SURE else " ".join(rest.get(k, ()))
-                    for k, (text, state) in enumerate(zip(texts, states))
-                    if k not in (leaked or ())
-                ]
+                kept = [text if state == SURE else " ".join(rest.get(k, ())) for k, (text, state) in enumerate(zip(texts, states))]
                 out.append("\n".join(t for t in kept if t))
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
@@ -141,12 +135,9 @@ def extract(pages: DataFrame, run: int = RUN, least_pages: int = PAGES) -> DataF
         .agg(F.collect_list("at").alias("hits"))  # at most one per word of the page and block
     )
     sizes = evidence.select("host", "body").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    leaks = cut(_leaks(parsed, evidence, least_pages), "leaks")  # written down, its size is known to the joins
-    texts = F.when(F.col("leaked").isNull(), F.col("texts")).otherwise(F.filter("texts", lambda _, k: ~F.array_contains("leaked", k)))
-    marked = parsed.filter("not undecided").select("row", "page_id", "url", "texts").join(leaks, "row", "left")
-    marked = marked.select("page_id", "url", F.array_join(texts, "\n").alias("text"))
-    judged = undecided.join(hits, "row", "left").join(leaks, "row", "left").join(sizes, "host", "left")
-    judged = judged.select("page_id", "url", "texts", "states", "words", "owner", "hits", "leaked", "pages")
+    marked = parsed.filter("not undecided").select("page_id", "url", F.array_join("texts", "\n").alias("text"))
+    judged = undecided.join(hits, "row", "left").join(sizes, "host", "left")
+    judged = judged.select("page_id", "url", "texts", "states", "words", "owner", "hits", "pages")
     rest = judged.mapInArrow(_unique(run, least_pages), "page_id long, url string, text string")
     return marked.unionByName(rest).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -159,18 +150,3 @@ def _evidence(parsed: DataFrame) -> DataFrame:
     first = near_copies(unmarked).select(F.col("doc_id").alias("row"), "component_id")
     joined = parsed.join(cut(first, "bodies"), "row", "left")
     return joined.withColumn("body", F.coalesce(F.xxhash64(F.lit("copies"), "component_id", F.when(F.col("component_id").isNull(), F.col("page")))))
-
-
-def _leaks(parsed: DataFrame, evidence: DataFrame, least_pages: int) -> DataFrame:
-    """``row, leaked``: numbers of the blocks of marked text that the host shows to be boilerplate."""
-    blocks = lambda column, inside: evidence.select(
-        "host", "body", F.explode(column).alias("block"), F.lit(inside).alias("inside")
-    )
-    seen = blocks("inside", 1).unionByName(blocks("outside", 0)).distinct()
-    counts = seen.groupBy("host", "block").agg(F.sum("inside").alias("within"), F.sum(1 - F.col("inside")).alias("without"))
-    leaked = counts.filter((F.col("within") >= least_pages) & (F.col("without") >= least_pages)).select("host", "block")
-    # The numbers in ``texts`` of the sure blocks, whose hashes ``inside`` has in the same order.
-    number = F.filter(F.transform("states", lambda x, k: F.when(x == SURE, k)), lambda k: k.isNotNull())
-    own = parsed.select("row", "host", F.posexplode("inside").alias("at", "block"), number.alias("number"))
-    found = own.join(leaked, ["host", "block"]).select("row", F.element_at("number", F.col("at") + 1).alias("k"))
-    return found.groupBy("row").agg(F.sort_array(F.collect_list("k")).alias("leaked"))

@@ -2,16 +2,22 @@
 
 Each text gets counts over its whole length and a vector of transformed
 statistics. Location and scatter of the vectors are estimated per language and
-source by the minimum covariance determinant: from coordinate-wise medians,
-concentration steps take the ``SHARE`` of a group's rows nearest by Mahalanobis
-distance and estimate anew, until the steps are done. A row whose squared
-distance, scaled so that the group's median is at most that of a chi-squared
-variable, exceeds ``CUTOFF`` is rejected. Groups below ``LEAST_ROWS`` rows are judged by
-the estimate of their language, and failing that of all rows.
-
-All of it is DataFrame expressions: sums with map-side combination, quantile
-sketches and joins of group estimates. The only counts that meet in one place
-are sums per group, and a hot source is summed in every task that reads it.
+source, per language and over all rows, by the minimum covariance determinant:
+several deterministic starts (a diagonal one, and the correlations of squashed
+and of sign vectors) each go through concentration steps, which take the
+``SHARE`` of a group's rows nearest by Mahalanobis distance and estimate anew,
+until the determinant falls no further; of the starts the least determinant
+wins. A row whose squared distance, scaled so that the group's median is at most
+that of a chi-squared variable, exceeds ``CUTOFF`` is rejected. Groups below
+``LEAST_ROWS`` rows are judged by the estimate of their language, and failing
+that of all rows.
+
+All of it is DataFrame expressions. A step is one pass for all groups and
+starts: each row adds its deviations and their products to a narrow bin of its
+distance, with map-side combination, and the nearest rows are the sums of the
+first bins and a share of the last. So no sort, no second pass for the limit,
+and what meets in one place is a row per task, group, start and bin; a hot
+source is summed in every task that reads it.
 
 Defined cases: a null text counts as empty and fails the base rules; null
 languages and sources are groups of their own; repeated rows are judged one by
@@ -23,13 +29,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import cut, fresh
 
-#: Share of a group's rows in the estimate, number of concentration steps, rows that a group needs.
-SHARE, STEPS, LEAST_ROWS = 0.75, 3, 200
+#: Share of a group's rows in the estimate, rows that a group needs, fall of the determinant's logarithm that a step has to bring.
+SHARE, LEAST_ROWS, LEAST_FALL = 0.75, 200, 0.02
+#: Bins of squared distances: so many for each factor e, between these limits.
+BINS, NEAREST, FARTHEST = 10, 1e-3, 1e6
 #: Tasks over which the rows of one group are dealt.
 SALTS = 16
 #: Quantile of the chi-squared distribution of 5 degrees of freedom at 0.999, and its median.
@@ -37,8 +45,8 @@ CUTOFF, MEDIAN = 20.515, 4.3515
 #: Smallest standard deviation of each transformed statistic. Most texts have no symbol, repeated line or
 #: repeated words at all; against such a group about 9 % of the lines or words repeated is the limit.
 FLOORS = (0.25, 0.05, 0.30, 0.5, 0.5)
-#: One repeated line, or one repeated run of three words (six words), is at most so many standard
-#: deviations, so that in a short text, whose shares are coarse, it does not decide alone.
+#: One repeated line, or the words of one (or of one repeated run of three words), is at most so many
+#: standard deviations, so that in a short text, whose shares are coarse, it does not decide alone.
 ONCE = 3.0
 NAMES = ("v1", "v2", "v3", "v4", "v5")
 _DIMS = range(len(NAMES))
@@ -84,7 +92,7 @@ def with_statistics(docs: DataFrame, out: str) -> DataFrame:
     coarse = [
         F.greatest(F.pow(F.log1p(100 * one / total) / ONCE, 2) - floor**2, F.lit(0.0)).alias(name)
         for name, one, total, floor in (
-            ("e4", 1, F.greatest(c("lines.n"), F.lit(1.0)), FLOORS[3]), ("e5", 6, words, FLOORS[4])
+            ("e4", 1, F.greatest(c("lines.n"), F.lit(1.0)), FLOORS[3]), ("e5", F.greatest(F.lit(6.0), 2 * words / F.greatest(c("lines.n"), F.lit(1.0))), words, FLOORS[4])
         )
     ]
     fields += [*coarse, failed.alias("base_failed"), *(x.alias(n) for n, x in zip(NAMES, vector))]
@@ -105,73 +113,145 @@ def _cholesky(cov: list[list[Column]], floors=FLOORS) -> list[tuple[str, Column]
     return steps
 
 
-def _estimate(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean and Cholesky factor of the covariance of ``rows`` per group: one aggregation."""
-    sums = [F.count(F.lit(1)).alias("n")]
-    sums += [F.avg(NAMES[i]).alias(f"m_{i}") for i in _DIMS]
-    sums += [F.covar_pop(NAMES[i], NAMES[j]).alias(f"c_{i}_{j}") for i in _DIMS for j in range(i + 1)]
-    est = rows.groupBy(*keys).agg(*sums)
-    cov = [[F.col(f"c_{i}_{j}") + (FLOORS[i] ** 2 if i == j else 0.0) for j in range(i + 1)] for i in _DIMS]
-    for name, value in _cholesky(cov):
-        est = est.withColumn(name, value)
-    return est.select(*keys, "n", *(f"m_{i}" for i in _DIMS), *(f"l_{i}_{j}" for i in _DIMS for j in range(i + 1)))
+_PARTS = [f"m_{i}" for i in _DIMS] + [f"l_{i}_{j}" for i in _DIMS for j in range(i + 1)]
+_PAIRS = [(i, j) for i in _DIMS for j in range(i + 1)]
 
 
-def _start(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Medians, and a diagonal scatter from the interquartile ranges."""
-    quartiles = [F.percentile_approx(NAMES[i], [0.25, 0.5, 0.75], 1000).alias(f"q_{i}") for i in _DIMS]
-    est = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *quartiles)
-    scale = lambda i: F.greatest((F.col(f"q_{i}")[2] - F.col(f"q_{i}")[0]) / 1.349, F.lit(FLOORS[i]))
-    return est.select(
-        *keys, "n", *(F.col(f"q_{i}")[1].alias(f"m_{i}") for i in _DIMS),
-        *((scale(i) if i == j else F.lit(0.0)).alias(f"l_{i}_{j}") for i in _DIMS for j in range(i + 1)),
-    )
+def _factored(est: DataFrame, keys: list[str], cov) -> DataFrame:
+    """``est`` with the Cholesky factor of ``cov(i, j)`` and the logarithm of its determinant; the floors are added."""
+    full = [[cov(i, j) + F.lit(FLOORS[i] ** 2 if i == j else 0.0) for j in range(i + 1)] for i in _DIMS]
+    for name, value in _cholesky(full):
+        est = est.withColumn(name, value)
+    fall = reduce(lambda a, i: a + 2 * F.log(F.col(f"l_{i}_{i}")), _DIMS, F.lit(0.0))
+    return est.select(*keys, *_PARTS, fall.alias("logdet"))
 
 
-def _distance(of=F.col) -> Column:
+def _distance(of=F.col, value=F.col) -> Column:
     """Squared Mahalanobis distance by forward substitution, from joined estimate columns."""
     z: list[Column] = []
     for i in _DIMS:
-        rest = reduce(lambda a, j: a - of(f"l_{i}_{j}") * z[j], range(i), F.col(NAMES[i]) - of(f"m_{i}"))
+        rest = reduce(lambda a, j: a - of(f"l_{i}_{j}") * z[j], range(i), value(NAMES[i]) - of(f"m_{i}"))
         z.append(rest / of(f"l_{i}_{i}"))
     return reduce(lambda a, b: a + b, [x * x for x in z])
 
 
 def _own_distance(est: str) -> Column:
-    """``_distance`` under the scatter with ``e4`` and ``e5`` added to the last two variances."""
+    """``_distance`` under the scatter with ``e4`` and ``e5`` added to the last two variances.
+
+    To be longer than others is no fault, so a length above the group's location counts as that.
+    """
     l33, l43, l44 = (F.col(f"{est}.l_{i}_{j}") for i, j in ((3, 3), (4, 3), (4, 4)))
     a = F.sqrt(l33 * l33 + F.col("e4"))
     b = l43 * l33 / a
     own = {"l_3_3": a, "l_4_3": b, "l_4_4": F.sqrt(l44 * l44 + l43 * l43 - b * b + F.col("e5"))}
     names = [f"m_{i}" for i in _DIMS] + [f"l_{i}_{j}" for i in _DIMS for j in range(i + 1)]
+    value = lambda n: F.least(n, f"{est}.m_0") if n == "v1" else F.col(n)
     return F.transform(
-        F.array(F.struct(*(own.get(n, F.col(f"{est}.{n}")).alias(n) for n in names))), lambda x: _distance(lambda n: x[n])
+        F.array(F.struct(*(own.get(n, F.col(f"{est}.{n}")).alias(n) for n in names))), lambda x: _distance(lambda n: x[n], value)
     )[0]
 
 
-def _joined(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` with their group's columns; a group's rows are dealt over ``SALTS`` tasks."""
-    if not keys:
-        return rows.crossJoin(F.broadcast(groups))  # one row
+def _joined(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their language and source; a group's rows are dealt over ``SALTS`` tasks."""
     salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.join(salted, [*keys, "salt"])
+    return rows.join(salted, ["g_lang", "g_source", "salt"])
 
 
-def _with_distance(rows: DataFrame, est: DataFrame, keys: list[str]) -> DataFrame:
-    return _joined(rows, est, keys).withColumn("d2", _distance())
+def _levels() -> Column:
+    """The three groups of a row: its language and source, its language, all."""
+    return F.array(F.concat_ws("\x1f", F.lit("2"), "g_lang", "g_source"), F.concat_ws("\x1f", F.lit("1"), "g_lang"), F.lit("0"))
 
 
-def fit(rows: DataFrame, keys: list[str], least_rows: int) -> DataFrame:
-    """Minimum-covariance-determinant estimates of groups with ``least_rows`` rows: ``keys, m_i, l_i_j, scale``."""
-    est = cut(_start(rows, keys).filter(F.col("n") >= least_rows).drop("n"), "scatter")
-    for _ in range(STEPS):
-        away = _with_distance(rows, est, keys)
-        limit = away.groupBy(*keys).agg(F.percentile_approx("d2", SHARE, 1000).alias("limit"))
-        near = _joined(away, limit, keys).filter("d2 <= limit")
-        est = cut(_estimate(near.select(*keys, *NAMES), keys).drop("n"), "scatter")
-    middle = _with_distance(rows, est, keys).groupBy(*keys).agg(F.percentile_approx("d2", 0.5, 1000).alias("middle"))
-    middle = middle.withColumn("scale", F.greatest(F.col("middle") / MEDIAN, F.lit(1.0))).drop("middle")
-    return est.join(middle, keys) if keys else est.crossJoin(middle)
+def _with(rows: DataFrame, groups: DataFrame, table: DataFrame) -> DataFrame:
+    """Every row with each row of ``table`` (by ``g``) for one of its groups, as ``e``."""
+    each = groups.withColumn("g", F.explode(_levels())).join(table, "g")
+    fields = F.struct("g", *(c for c in table.columns if c != "g"))
+    each = each.groupBy("g_lang", "g_source").agg(F.collect_list(fields).alias("es"))  # at most three groups times the starts
+    return _joined(rows, each).select(*NAMES, F.explode("es").alias("e")).select(*NAMES, "e.*")
+
+
+def _starts(rows: DataFrame, groups: DataFrame, least_rows: int) -> DataFrame:
+    """``g, start``, a location and a scatter each, of the groups with enough rows."""
+    counts = rows.groupBy("g_lang", "g_source").agg(F.count(F.lit(1)).alias("n")).withColumn("g", F.explode(_levels()))
+    large = counts.groupBy("g").agg(F.sum("n").alias("n")).filter((F.col("n") >= least_rows) | (F.col("g") == "0"))
+    middle = rows.select(F.explode(_levels()).alias("g"), *NAMES).groupBy("g").agg(
+        *(F.percentile_approx(NAMES[i], [0.25, 0.5, 0.75], 1000).alias(f"q_{i}") for i in _DIMS)
+    )
+    scale = lambda i: F.greatest((F.col(f"q_{i}")[2] - F.col(f"q_{i}")[0]) / 1.349, F.lit(FLOORS[i]))
+    middle = middle.join(large.select("g"), "g", "left_semi").select(
+        "g", *(F.col(f"q_{i}")[1].alias(f"m_{i}") for i in _DIMS), *(scale(i).alias(f"s_{i}") for i in _DIMS)
+    )
+    middle = cut(middle, "middle")
+    z = [(F.col(NAMES[i]) - F.col(f"m_{i}")) / F.col(f"s_{i}") for i in _DIMS]
+    away = _with(rows, groups, middle).select("g", *(x.alias(f"z_{i}") for i, x in enumerate(z)))
+    length = F.greatest(reduce(lambda a, i: a + F.col(f"z_{i}") * F.col(f"z_{i}"), _DIMS, F.lit(0.0)), F.lit(1e-9))
+    away = away.select("g", *(F.tanh(f"z_{i}").alias(f"t_{i}") for i in _DIMS), *(F.col(f"z_{i}") for i in _DIMS), length.alias("r"))
+    sums = away.groupBy("g").agg(
+        *(F.covar_pop(f"t_{i}", f"t_{j}").alias(f"t_{i}_{j}") for i, j in _PAIRS),
+        *(F.avg(F.col(f"z_{i}") * F.col(f"z_{j}") / F.col("r")).alias(f"z_{i}_{j}") for i, j in _PAIRS),
+    )
+    both = cut(middle.join(sums, "g"), "starts")
+    size = lambda i, j: F.col(f"s_{i}") * F.col(f"s_{j}")
+    spread = lambda i: F.sqrt(F.greatest(F.col(f"t_{i}_{i}"), F.lit(1e-6)))
+    scatters = (
+        lambda i, j: size(i, j) if i == j else F.lit(0.0),
+        lambda i, j: size(i, j) * F.col(f"t_{i}_{j}") / (spread(i) * spread(j)),
+        lambda i, j: size(i, j) * len(_DIMS) * F.col(f"z_{i}_{j}"),
+    )
+    made = [_factored(both, ["g"], cov).withColumn("start", F.lit(k)) for k, cov in enumerate(scatters)]
+    return reduce(lambda a, b: a.unionByName(b), made)
+
+
+def _step(rows: DataFrame, groups: DataFrame, state: DataFrame) -> DataFrame:
+    """One concentration step of every ``(g, start)`` of ``state``: the new estimate, and ``middle``, the old one's median distance."""
+    away = _with(rows, groups, state.select("g", "start", *_PARTS)).withColumn("d2", _distance())
+    bin_ = F.floor(F.log(F.least(F.greatest("d2", F.lit(NEAREST)), F.lit(FARTHEST))) * BINS).cast("int")
+    away = away.select("g", "start", bin_.alias("bin"), *((F.col(NAMES[i]) - F.col(f"m_{i}")).alias(f"y_{i}") for i in _DIMS))
+    sums = away.groupBy("g", "start", "bin").agg(
+        F.count(F.lit(1)).alias("n"), *(F.sum(f"y_{i}").alias(f"s_{i}") for i in _DIMS),
+        *(F.sum(F.col(f"y_{i}") * F.col(f"y_{j}")).alias(f"p_{i}_{j}") for i, j in _PAIRS),
+    )
+    group = Window.partitionBy("g", "start")  # a row per bin
+    before = F.coalesce(F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select("*", before.alias("before"), F.sum("n").over(group).alias("all"))
+    part = lambda share: F.least(F.greatest((share * F.col("all") - F.col("before")) / F.col("n"), F.lit(0.0)), F.lit(1.0))
+    sums = sums.withColumn("w", part(SHARE)).withColumn("half", part(0.5))
+    near = sums.groupBy("g", "start").agg(
+        F.sum(F.col("w") * F.col("n")).alias("n"), *(F.sum(F.col("w") * F.col(f"s_{i}")).alias(f"s_{i}") for i in _DIMS),
+        *(F.sum(F.col("w") * F.col(f"p_{i}_{j}")).alias(f"p_{i}_{j}") for i, j in _PAIRS),
+        # The last bin of the nearer half, and how far into it the median lies.
+        F.max(F.when(F.col("half") > 0, F.struct("bin", "half"))).alias("last"),
+    )
+    near = near.join(state.select("g", "start", *(F.col(f"m_{i}").alias(f"o_{i}") for i in _DIMS)), ["g", "start"])
+    mean = lambda i: F.col(f"s_{i}") / F.col("n")
+    near = near.select("*", *((F.col(f"o_{i}") + mean(i)).alias(f"m_{i}") for i in _DIMS), F.exp((F.col("last.bin") + F.col("last.half")) / BINS).alias("middle"))
+    return _factored(near, ["g", "start", "middle"], lambda i, j: F.col(f"p_{i}_{j}") / F.col("n") - mean(i) * mean(j))
+
+
+def fit(rows: DataFrame, least_rows: int) -> DataFrame:
+    """Minimum-covariance-determinant estimates ``g, m_i, l_i_j, scale`` of all groups with ``least_rows`` rows, and of all rows.
+
+    Every start goes on while a step lowers its determinant; that ends, since the floors bound it from below.
+    """
+    groups = cut(rows.select("g_lang", "g_source").distinct(), "groups")
+    active = cut(_starts(rows, groups, least_rows), "state")
+    done = None
+    while True:
+        new = cut(_step(rows, groups, active), "state")
+        old = active.select("g", "start", F.col("logdet").alias("old"))
+        # A start's own scatter is no covariance of any rows, so the first step counts as a fall.
+        falls = F.lit(True) if done is None else F.col("logdet") < F.col("old") - LEAST_FALL
+        both = new.join(old, ["g", "start"]).withColumn("falls", falls)
+        ended = both.filter(~F.coalesce("falls", F.lit(False))).select("g", "start")
+        last = active.join(ended, ["g", "start"], "left_semi").select("g", "start", *_PARTS, "logdet")
+        done = last if done is None else done.unionByName(last)
+        active = cut(both.filter("falls").select("g", "start", *_PARTS, "logdet"), "state")
+        if active.isEmpty():
+            break
+    best = Window.partitionBy("g").orderBy("logdet", "start")  # a row per start
+    best = cut(done.withColumn("place", F.row_number().over(best)).filter("place = 1").drop("place"), "scatter")
+    middle = _step(rows, groups, best).select("g", F.greatest(F.col("middle") / MEDIAN, F.lit(1.0)).alias("scale"))
+    return best.join(middle, "g").select("g", *_PARTS, "scale")
 
 
 def judge(docs: DataFrame, least_rows: int = LEAST_ROWS, carry: list[str] | None = None) -> DataFrame:
@@ -191,21 +271,12 @@ def judge(docs: DataFrame, least_rows: int = LEAST_ROWS, carry: list[str] | None
     )
     rows = cut(rows, "quality")  # written down, the salts stay
     sample = rows.filter("not base_failed").select("g_lang", "g_source", "salt", *NAMES)
-    own = fit(sample, ["g_lang", "g_source"], least_rows)
-    by_lang = fit(sample, ["g_lang"], least_rows)
-    overall = fit(sample, [], 1)
-    parts = [f"m_{i}" for i in _DIMS] + [f"l_{i}_{j}" for i in _DIMS for j in range(i + 1)] + ["scale"]
-
-    def named(est: DataFrame, keys: list[str], name: str) -> DataFrame:
-        return est.select(*keys, F.struct(*parts).alias(name))
-
+    table = cut(fit(sample, least_rows), "scatter")
     groups = rows.select("g_lang", "g_source").distinct()
-    table = groups.join(named(own, ["g_lang", "g_source"], "e1"), ["g_lang", "g_source"], "left").join(
-        named(by_lang, ["g_lang"], "e2"), ["g_lang"], "left"
-    )
-    table = table.join(F.broadcast(named(overall, [], "e3")), how="left")  # one row
-    table = cut(table.select("g_lang", "g_source", F.coalesce("e1", "e2", "e3").alias("e")), "scatter")
-    judged = _joined(rows, table, ["g_lang", "g_source"]).withColumn("d2", _own_distance("e") / F.col("e.scale"))
+    level = groups.select("g_lang", "g_source", F.posexplode(_levels()).alias("level", "g")).join(table, "g")
+    nearest = level.groupBy("g_lang", "g_source").agg(F.min_by(F.struct(*_PARTS, "scale"), "level").alias("e"))
+    table = cut(groups.join(nearest, ["g_lang", "g_source"], "left"), "scatter")
+    judged = _joined(rows, table).withColumn("d2", _own_distance("e") / F.col("e.scale"))
     return judged.select(
         "own.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(F.col("d2") <= CUTOFF, F.lit(True))).alias("kept"), "d2",

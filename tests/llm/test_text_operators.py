@@ -302,17 +302,73 @@ def test_quality_rejects_repetition_but_not_one(spark):
     assert not any(r.kept for i, r in got.items() if i % 100 < 2)
 
 
-def test_quality_distance_equals_numpy(spark):
-    """The estimate and the distance of one concentration step, against numpy."""
-    rng = np.random.default_rng(0)
-    x = rng.normal(size=(400, 5)) @ rng.normal(size=(5, 5)) + 3
-    df = spark.createDataFrame([("g", k % quality.SALTS, *map(float, r)) for k, r in enumerate(x)], f"g string, salt int, {', '.join(f'{n} double' for n in quality.NAMES)}")
-    est = quality._estimate(df, ["g"])
-    got = quality._with_distance(df, est, ["g"]).toPandas()
-    cov = np.cov(x.T, bias=True) + np.diag(np.square(quality.FLOORS))
-    d = x - x.mean(axis=0)
-    want = np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)
-    assert np.allclose(np.sort(got.d2.to_numpy()), np.sort(want))
+def least_determinant(x):
+    """Location and scatter by exact concentration steps from the same starts, in numpy."""
+    floors = np.diag(np.square(quality.FLOORS))
+    low, middle, high = np.percentile(x, [25, 50, 75], axis=0, method="inverted_cdf")
+    s = np.maximum((high - low) / 1.349, quality.FLOORS)
+    z = (x - middle) / s
+    t = np.tanh(z)
+    sign = z / np.sqrt(np.maximum((z * z).sum(axis=1, keepdims=True), 1e-9))
+    squashed = np.cov(t.T, bias=True)
+    spread = np.sqrt(np.maximum(np.diag(squashed), 1e-6))
+    found = []
+    for r in (np.eye(5), squashed / np.outer(spread, spread), 5 * sign.T @ sign / len(x)):
+        m, c, old = middle, r * np.outer(s, s) + floors, None
+        while True:
+            d = x - m
+            near = x[np.argsort((d @ np.linalg.inv(c) * d).sum(axis=1), kind="stable")[: int(quality.SHARE * len(x))]]
+            new_m, new_c = near.mean(axis=0), np.cov(near.T, bias=True) + floors
+            new = np.linalg.slogdet(new_c)[1]
+            if old is not None and new >= old - quality.LEAST_FALL:
+                break
+            m, c, old = new_m, new_c, new
+        found.append((old, m, c))
+    return min(found, key=lambda f: f[0])
+
+
+def test_quality_equals_numpy_end_to_end(spark):
+    """Every verdict from the texts alone, against an independent version with exact steps."""
+    rng = random.Random(6)
+    word = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, k)))
+    rows = []
+    for i in range(1600):
+        group = i % 4
+        lines = [" ".join(word(6 + 2 * group) for _ in range(rng.randrange(4, 14))) for _ in range(rng.randrange(8, 60))]
+        if i % 9 == 0:
+            lines = [x + " #" * rng.randrange(1, 6) for x in lines]
+        if i % 7 == 0:
+            lines += lines[: rng.randrange(1, 12)]
+        rows.append((i, "\n".join(lines), "en" if group < 2 else "de", f"s{group}" if i % 40 else "rare", 0))
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    vectors, coarse, failed = {}, {}, {}
+    for i, text, *_ in rows:
+        n, chars, symbols, dup, repeat = statistics(text)
+        lines = len(text.split("\n"))
+        vectors[i] = np.log1p([n, chars / n - 1, 100 * symbols / chars, 100 * dup / lines, 100 * repeat / n])
+        once = np.log1p([100 / lines, 100 * max(6, 2 * n / lines) / n]) / quality.ONCE
+        coarse[i] = np.maximum(np.square(once) - np.square(quality.FLOORS[3:]), 0)
+        failed[i] = n < 50 or 100 * repeat > 50 * n
+    groups = collections.defaultdict(list)
+    for i, _, lang, source, _ in rows:
+        if not failed[i]:
+            for g in ((lang, source), (lang,), ()):
+                groups[g].append(i)
+    fitted = {g: least_determinant(np.array([vectors[i] for i in ids])) for g, ids in groups.items() if len(ids) >= quality.LEAST_ROWS or not g}
+    same, gone = 0, 0
+    for i, _, lang, source, _ in rows:
+        g = next(g for g in ((lang, source), (lang,), ()) if g in fitted)
+        _, m, c = fitted[g]
+        x = np.array([vectors[k] for k in groups[g]]) - m
+        scale = max(np.percentile((x @ np.linalg.inv(c) * x).sum(axis=1), 50) / quality.MEDIAN, 1)
+        own = c + np.diag([0, 0, 0, *coarse[i]])
+        d = vectors[i] - m
+        d[0] = min(d[0], 0)
+        d2 = d @ np.linalg.inv(own) @ d / scale
+        assert failed[i] == got[i].base_failed and abs(got[i].d2 - d2) < 0.1 * d2 + 0.1
+        gone += not failed[i] and d2 > quality.CUTOFF
+        same += got[i].kept == (not failed[i] and d2 <= quality.CUTOFF)
+    assert same >= 0.995 * len(rows) and 50 < gone < 800
 
 
 PRIVATE = [

@@ -30,6 +30,7 @@ from .scratch import cut
 from .tokens import encoder, lots
 
 LOT_ROWS = 20_000
+LOTS_TOGETHER = 1_000
 PIECES = "doc_id long, row_key long, start long, length long, doc_tokens long, ids binary"
 
 
@@ -67,18 +68,22 @@ def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFra
     return rows.mapInArrow(run, PIECES)
 
 
-def combinations(histogram: np.ndarray, window: int, most: int = 4000) -> list[tuple[int, ...]]:
-    """Pairs, and triples with a frequent length, that fill the window from lengths that occur."""
+def combinations(histogram: np.ndarray, window: int, frequent_lengths: int = 48) -> list[tuple[int, ...]]:
+    """Pairs, and triples of which two lengths are among the most frequent, that fill the window from lengths that occur.
+
+    The number of patterns follows from the window, not from the corpus: at most half the window of pairs
+    and ``frequent_lengths`` squared of triples. Pieces that no pattern takes are packed all the same.
+    """
     there = [int(x) for x in np.flatnonzero(histogram)]
     known = set(there)
     found = [(a, window - a) for a in there if 2 * a <= window and window - a in known]
-    frequent = sorted(there, key=lambda x: (-histogram[x], x))[:48]
+    frequent = sorted(there, key=lambda x: (-histogram[x], x))[:frequent_lengths]
     for i, a in enumerate(frequent):
         for b in frequent[i:]:
             c = window - a - b
             if c > 0 and c in known:
                 found.append(tuple(sorted((a, b, c))))
-    return list(dict.fromkeys(found))[:most]
+    return list(dict.fromkeys(found))
 
 
 def solve(patterns: list[tuple[int, ...]], histogram: np.ndarray, rounds: int = 100) -> np.ndarray:
@@ -117,8 +122,13 @@ def repeats(patterns: list[tuple[int, ...]], histogram: np.ndarray) -> np.ndarra
 def _running(df: DataFrame, group: list[str], value: str, out: str, keys: list[str]) -> DataFrame:
     """``out``: the sum of ``value`` over the rows before this one within ``group``, by lots."""
     lots = df.groupBy(*group, "lot").agg(F.sum(value).alias("_sum"))
-    over = Window.partitionBy(*group).orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
-    base = lots.select(*group, "lot", F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_base"))
+    # Two levels, so that even the lots of one group are not all in one task: sums of some lots, then lots among them.
+    lots = lots.withColumn("_some", F.floor(F.col("lot") / LOTS_TOGETHER))
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    some = lots.groupBy(*group, "_some").agg(F.sum("_sum").alias("_all"))
+    some = some.select(*group, "_some", F.coalesce(F.sum("_all").over(before(*group).orderBy("_some")), F.lit(0)).alias("_first"))
+    among = F.coalesce(F.sum("_sum").over(before(*group, "_some").orderBy("lot")), F.lit(0))
+    base = lots.withColumn("_among", among).join(some, [*group, "_some"]).select(*group, "lot", (F.col("_first") + F.col("_among")).alias("_base"))
     inside = Window.partitionBy(*group, "lot").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     within = df.withColumn("_in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     return within.join(base, [*group, "lot"]).withColumn(out, F.col("_base") + F.col("_in")).drop("_base", "_in")
@@ -153,9 +163,9 @@ def plan(lengths: DataFrame, window: int) -> DataFrame:
             sequence += n
     slot = spark.createDataFrame(slots, "length long, low long, high long, first long, offset long")
     keys = ["row_key", "doc_id", "copy", "start"]
-    pieces = lengths.withColumn("lot", F.pmod("row_key", F.lit(lots))).withColumn("one", F.lit(1))
+    pieces = lengths.withColumn("lot", F.pmod(F.xxhash64("row_key", "copy", "start"), F.lit(lots))).withColumn("one", F.lit(1))
     numbered = cut(_running(pieces, ["length"], "one", "number", keys), "numbered")
-    # At most three rows per pattern and 4000 patterns.
+    # At most three rows per pattern; the patterns are bounded by the window.
     placed = numbered.join(F.broadcast(slot), "length", "left").filter("low is null or (number >= low and number < high)")
     placed = placed.filter("low is not null").select(
         *keys, "length", (F.col("first") + F.col("number") - F.col("low")).alias("sequence_id"), "offset",

@@ -32,6 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import components, local_components
 from .scratch import cut
@@ -200,8 +201,9 @@ def _joined(threshold: float):
 
 def links(entries: DataFrame, threshold: float, coordinates: int = 1, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``rep, root, links``: partial link counts and star edges of ``entries(rep, n, v, size)``."""
+    kind = entries.schema["v"].dataType.simpleString()
     cells = entries.mapInArrow(
-        _cells(threshold, coordinates), "dims int, block int, cell string, guest boolean, rep long, n long, v array<float>"
+        _cells(threshold, coordinates), f"dims int, block int, cell string, guest boolean, rep long, n long, v {kind}"
     )
     # The same cells from the vectors alone would cost a second rotation; a written table costs one read.
     cells = cut(cells, "cells")
@@ -220,7 +222,8 @@ def links(entries: DataFrame, threshold: float, coordinates: int = 1, cell_rows:
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, cell_rows: int = CELL_ROWS) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``."""
-    v = F.col("embedding").cast("array<float>")
+    single = isinstance(vectors.schema["embedding"].dataType, T.ArrayType) and isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    v = F.col("embedding").cast("array<float>" if single else "array<double>")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
     fine = F.coalesce(
         F.col("vec_id").isNotNull()

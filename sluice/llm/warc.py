@@ -205,8 +205,8 @@ _RECORD = (
 )
 
 
-def _scan(manifest: DataFrame, segments: bool) -> DataFrame:
-    """Records of the files: either the segments, or the whole records with their payload as block."""
+def _scan(manifest: DataFrame) -> DataFrame:
+    """Records of the files: segments as they are, and whole records with their payload as block; a task per file."""
 
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
@@ -222,10 +222,8 @@ def _scan(manifest: DataFrame, segments: bool) -> DataFrame:
                 rows, size = [], 0
                 with files.stream(path) as source:
                     for h, block in records(source):
-                        if ("warc-segment-number" in h) != segments:
-                            continue
                         kind = h["warc-type"]
-                        if not segments:
+                        if "warc-segment-number" not in h:
                             block = payload_of(block) if kind == "response" else None
                         rows.append(
                             (
@@ -242,7 +240,9 @@ def _scan(manifest: DataFrame, segments: bool) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return manifest.select("path").repartition("path").mapInArrow(task, _RECORD)
+    # By number, since the bytes of the paths say nothing about those of the files; a row is some ten MB of archive.
+    files_ = max(1, manifest.count())
+    return manifest.select("path").repartition(files_).mapInArrow(task, _RECORD)
 
 
 def _assemble(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,8 +264,9 @@ def read(manifest: DataFrame) -> DataFrame:
     ``refers_to`` is a record id; revisits have no payload of their own.
     """
     columns = ["record_id", "record_type", "page_id", "uri", "digest", "refers_to", "payload"]
-    whole = _scan(manifest, segments=False).withColumnRenamed("block", "payload").select(columns)
-    parts = _scan(manifest, segments=True)
+    scanned = cut(_scan(manifest), "scanned")  # the archives are read once
+    whole = scanned.filter("segment is null").withColumnRenamed("block", "payload").select(columns)
+    parts = scanned.filter("segment is not null")
     first = F.col("segment") == 1
     one = lambda c: F.max(F.when(first, F.col(c))).alias(c)
     grouped = parts.groupBy(F.coalesce("origin", "record_id").alias("whole_id")).agg(

@@ -137,18 +137,18 @@ def scd2(target: DataFrame, staged: DataFrame, keys: list[str], stamp, increment
     new = scd2_first(staged, stamp, incremental_key)
     match = lambda a, b: reduce(lambda x, k: x & (F.col(f"{a}{k}") == F.col(f"{b}{k}")), keys, F.lit(True))
     old = target.filter(~F.coalesce("_scd_is_current", F.lit(False)))
-    t = _prefixed(target.filter("_scd_is_current"), "t_")
-    # One staged row decides per current row: whether any differs, and the start of the first that does.
-    digest = new.groupBy(*keys).agg(
-        F.collect_list(F.struct(*(F.col(c) for c in data), F.col("_scd_valid_from").alias("_from"))).alias("_versions")
-    )
-    d = digest.select(*(F.col(k).alias(f"s_{k}") for k in keys), "_versions")
-    joined = t.join(d, match("t_", "s_"), "left")
-    differs = lambda v: ~reduce(lambda a, c: a & v[c].eqNullSafe(F.col(f"t_{c}")), data, F.lit(True))
-    other = F.filter("_versions", differs)
-    changed = F.col("_versions").isNotNull() & (F.size(other) > 0)
-    missing = F.col("_versions").isNull() & F.lit(incremental_key is None)
-    end = F.when(changed, F.array_min(F.transform(other, lambda v: v["_from"]))).when(missing, F.lit(stamp).cast("timestamp"))
+    # Per current row: whether any staged row of its key differs, and the start of the first that does. The rows
+    # of a key are joined and summed up with map-side combination, never gathered.
+    t = _prefixed(target.filter("_scd_is_current").withColumn("_row", F.monotonically_increasing_id()), "t_")
+    s = _prefixed(new.select(*keys, *data, "_scd_valid_from"), "s_")
+    same = reduce(lambda a, c: a & F.col(f"s_{c}").eqNullSafe(F.col(f"t_{c}")), data, F.lit(True))
+    differs = F.coalesce(F.col("s_"), F.lit(False)) & ~same
+    joined = t.join(s, match("t_", "s_"), "left").groupBy("t__row").agg(
+        F.first(F.struct(*(f"t_{c}" for c in target.columns))).alias("_t"), F.max(differs).alias("_changed"),
+        F.min(F.when(differs, F.col("s__scd_valid_from"))).alias("_end"), F.count("s_").alias("_seen"),
+    ).select("_t.*", "_changed", "_end", "_seen")
+    changed, missing = F.col("_changed"), (F.col("_seen") == 0) & F.lit(incremental_key is None)
+    end = F.when(changed, F.col("_end")).when(missing, F.lit(stamp).cast("timestamp"))
     closed = changed | missing
     values = {
         "_scd_valid_to": F.when(closed, end).otherwise(F.col("t__scd_valid_to")),

@@ -168,14 +168,13 @@ def s19(spark, d):
     """All windows together are the table: nothing lost, nothing twice."""
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
     conditions = partitions.plan(o, "o_orderdate", timedelta(days=97))
-    return reduce(lambda a, b: a.unionByName(b), (o.filter(c) for c in conditions))
+    return partitions.extract(o, "o_orderdate", conditions)
 
 
 @_r.add("s20_integer_windows", "SELECT c_custkey, c_name FROM customer")
 def s20(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_name")
-    conditions = partitions.plan(c, "c_custkey", 101)
-    return reduce(lambda a, b: a.unionByName(b), (c.filter(x) for x in conditions))
+    return partitions.extract(c, "c_custkey", partitions.plan(c, "c_custkey", 101))
 
 
 @_r.add("s21_auto_windows", "SELECT 20 AS n_windows, count(*) AS n_rows FROM events")
@@ -198,8 +197,7 @@ def _with_nulls(spark, d):
 @_r.add("s23_null_partition", "SELECT CASE WHEN c_custkey % 6 > 0 THEN c_custkey END AS k, c_name FROM customer")
 def s23(spark, d):
     c = _with_nulls(spark, d)
-    conditions = partitions.plan(c, "k", 250)
-    return reduce(lambda a, b: a.unionByName(b), (c.filter(x) for x in conditions))
+    return partitions.extract(c, "k", partitions.plan(c, "k", 250))
 
 
 @_r.add("s23_null_partition_not_read", "SELECT c_custkey AS k, c_name FROM customer WHERE c_custkey % 6 > 0 AND c_custkey <= 900")
@@ -321,9 +319,9 @@ def r2(spark, d):
     return spark.table(name)
 
 
-@_r.add("r3_stream_append", "SELECT event_id, user_id, event_type FROM events")
+@_r.add("r3_stream_append", "SELECT event_id, user_id, event_type FROM events UNION ALL SELECT event_id, user_id, event_type FROM events")
 def r3(spark, d):
-    """Every batch runs twice, as after a failure; the ledger lets it in once."""
+    """Every batch runs twice, as after a failure, and is let in once; a second stream into the same table is let in too."""
     name = _name(spark)
     append = continuous.append_to(name)
 
@@ -332,6 +330,7 @@ def r3(spark, d):
         append(rows, i)
         append(rows, i)
 
+    _run(spark, d, twice)
     _run(spark, d, twice)
     return spark.table(name).drop("_batch_id")
 
@@ -350,12 +349,14 @@ def r7(spark, d):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@_r.add("r1_stream_flushes", "SELECT count(*) AS n_rows, TRUE AS several FROM events")
+@_r.add("r1_stream_flushes", "SELECT event_id, TRUE AS several FROM events")
 def r1(spark, d):
-    """A flush takes one file at most; all rows arrive, over several flushes."""
-    seen = []
-    _run(spark, d, lambda rows, i: seen.append(rows.count()))
-    return spark.createDataFrame([(sum(seen), len(seen) > 1)], "n_rows long, several boolean")
+    """A batch takes one file at most, a flush about a twentieth of all rows; every row arrives once, over several flushes."""
+    name = _name(spark)
+    append = continuous.in_flushes(continuous.append_to(name), max(1, table(spark, d, "events").count() // 20))
+    _run(spark, d, lambda rows, i: append(rows.select("event_id"), i))
+    several = spark.table(name).select("_batch_id").distinct().count() > 4
+    return spark.table(name).select("event_id", F.lit(several).alias("several"))
 
 
 @_r.add("r8_stream_new_table", "SELECT event_type AS name, count(*) AS n FROM events GROUP BY event_type")
@@ -380,9 +381,11 @@ def r12(spark, d):
     name = _name(spark)
     append = continuous.append_to(name)
     path, schema = _stream_folder(spark, d)
-    stream = continuous.file_stream(spark, path, schema)
-    query = continuous.start(stream, lambda rows, i: append(rows.select("event_id"), i), workspace.path(spark, "offsets"), seconds=0)
-    continuous.stop(query, 60)
+    stream = continuous.file_stream(spark, path, schema, files_per_batch=2)
+    offsets = workspace.path(spark, "offsets")
+    query = continuous.start(stream, lambda rows, i: append(rows.select("event_id"), i), offsets, seconds=0)
+    if not continuous.stop(query, 60):  # the rest comes from the same checkpoint
+        continuous.start(stream, lambda rows, i: append(rows.select("event_id"), i), offsets, once=True).awaitTermination()
     return spark.table(name).drop("_batch_id")
 
 
@@ -438,10 +441,11 @@ def r13(spark, d):
         stream = continuous.file_stream(spark, path, schema, files_per_batch=2)
         query = continuous.start(stream, lambda rows, i: sinks.discard(rows), workspace.path(spark, "offsets"), once=True)
         query.awaitTermination()
-        progress = [int(p["numInputRows"]) for p in query.recentProgress]
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        rows = listener.rows.get(str(query.id), 0)
     finally:
         spark.streams.removeListener(listener)
-    return spark.createDataFrame([(sum(progress),)], "n_rows long")
+    return spark.createDataFrame([(rows,)], "n_rows long")
 
 
 @_r.add("a7_row_counters", "SELECT event_type, count(*) AS n_rows, sum(length(props)) AS n_bytes FROM events GROUP BY event_type")
@@ -454,6 +458,5 @@ def a7(spark, d):
 @_r.add("a8_union_of_windows", "SELECT min(l_orderkey) AS lo, max(l_orderkey) AS hi, count(*) AS n_rows FROM lineitem")
 def a8(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey")
-    parts = [li.filter(c) for c in partitions.plan(li, "l_orderkey", parallelism=3)]
-    both = reduce(lambda a, b: a.unionByName(b), parts)
+    both = partitions.extract(li, "l_orderkey", partitions.plan(li, "l_orderkey", parallelism=3))
     return dedup.key_bounds(both, "l_orderkey").crossJoin(F.broadcast(both.agg(F.count(F.lit(1)).alias("n_rows"))))

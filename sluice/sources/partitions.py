@@ -92,6 +92,19 @@ def any_of(conditions: list[str]) -> C:
     return F.expr(" OR ".join(f"({c})" for c in conditions) or "false")
 
 
+def extract(df: DataFrame, column: str, conditions: list[str]) -> DataFrame:
+    """A file table or view read by the conditions of ``plan``: one scan, whose splits are the parallelism.
+
+    Windows follow one another, so all of them together are one interval, and the null rows if a condition asks for them.
+    """
+    inner = [c for c in conditions if not c.endswith(" IS NULL")]
+    if not inner:
+        return df.filter(any_of(conditions))
+    low, high = inner[0].split(" AND ")[0], inner[-1].split(" AND ")[1]
+    whole = F.expr(f"({low}) AND ({high})")
+    return df.filter(whole | F.col(column).isNull() if len(inner) < len(conditions) else whole)
+
+
 def window_number(column: C, low, step) -> C:
     """The number of the window that a value falls into."""
     if isinstance(step, timedelta):

@@ -1,14 +1,20 @@
 """Continuous loads on Structured Streaming.
 
 A trigger plays the part of a flush: on time, or by the files or offsets that
-one batch may take. Merges are idempotent by key, so a batch that runs again
-after a failure changes nothing; appends keep a ledger of batch ids.
+one batch may take; ``in_flushes`` bounds the rows of one flush as well. Merges
+are idempotent by key, so a batch that runs again after a failure changes
+nothing; appends keep the stream, batch and flush with the rows themselves, so
+that both arrive or neither does, and another stream (or the same one from a new
+checkpoint) is never taken for one that was there.
 """
 
 from __future__ import annotations
 
+import re
 import threading
+import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +23,17 @@ from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators import changes, evolve, strategies, transforms
-from ..operators.dedup import latest
 from ..sources import sinks
 
 FLUSH_SECONDS, FLUSH_ROWS = 30, 50_000
+#: Tables that one batch loads at the same time.
+TOGETHER = 8
+#: The stream and the flush that this thread works for.
+_here = threading.local()
+
+
+def _flush_id(batch_id: int) -> str:
+    return f"{getattr(_here, 'stream', '')}:{batch_id}:{getattr(_here, 'flush', 0)}"
 
 
 def file_stream(spark: SparkSession, path: str, schema, format: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -36,10 +49,38 @@ def start(
     seconds: int = FLUSH_SECONDS, name: str | None = None,
 ) -> StreamingQuery:
     """Run ``batch`` for every micro-batch; ``once`` takes what is there and stops."""
-    write = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    known = threading.Event()
+    ids: list[str] = []
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        known.wait()
+        _here.stream, _here.flush = ids[0], 0
+        batch(rows, batch_id)
+
+    write = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     write = write.queryName(name) if name else write
     write = write.trigger(availableNow=True) if once else write.trigger(processingTime=f"{seconds} seconds")
-    return write.start()
+    query = write.start()
+    ids.append(str(query.id))  # of the checkpoint: the same after a restart, another for another stream
+    known.set()
+    return query
+
+
+def in_flushes(batch: Callable[[DataFrame, int], None], rows: int = FLUSH_ROWS, by: list[str] | None = None) -> Callable[[DataFrame, int], None]:
+    """``batch`` for about ``rows`` rows at a time; all rows of one value of ``by`` come together, so their order stays."""
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        try:
+            flushes = max(1, -(-df.count() // rows))
+            key = F.pmod(F.xxhash64(*(by or df.columns)), F.lit(flushes))
+            for k in range(flushes):
+                _here.flush = k
+                batch(df.filter(key == k) if flushes > 1 else df, batch_id)
+        finally:
+            df.unpersist()
+
+    return run
 
 
 def merge_into(table: str, keys: list[str], order: str | None = None, cdc: bool = False) -> Callable[[DataFrame, int], None]:
@@ -64,13 +105,14 @@ def merge_into(table: str, keys: list[str], order: str | None = None, cdc: bool
 
 
 def append_to(table: str, ledger: str = "_batch_id") -> Callable[[DataFrame, int], None]:
-    """A batch function that appends; a batch that the table already holds is skipped."""
+    """A batch function that appends; a flush that the table already holds is skipped."""
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        rows = rows.withColumn(ledger, F.lit(batch_id).cast("long"))
+        own = _flush_id(batch_id)
+        rows = rows.withColumn(ledger, F.lit(own))
         if sinks.exists(spark, table):
-            seen = spark.table(table).filter(F.col(ledger) == batch_id)
+            seen = spark.table(table).filter(F.col(ledger) == own)
             if not seen.isEmpty():
                 return
         sinks.append(rows, table)
@@ -95,7 +137,8 @@ def many_tables(
 
     With ``known`` other tables are dropped; without it a table seen for the
     first time gets its function then. Rows before a truncation are dropped and
-    the table is emptied first. The batch is done when every table is.
+    the table is emptied first. Tables are loaded side by side; the batch is done when
+    every table is, and runs again as a whole after a failure.
     """
     functions: dict[str, Callable[[DataFrame, int], None]] = {}
 
@@ -109,9 +152,18 @@ def many_tables(
             else:
                 kept = rows
             names = [r[0] for r in kept.select(column).distinct().collect()]  # table names only
-            for name in sorted(n for n in names if n is not None and (known is None or n in known)):
-                own = functions.setdefault(name, make(name))
-                own(kept.filter(F.col(column) == name).drop(column), batch_id)
+            wanted = sorted(n for n in names if n is not None and (known is None or n in known))
+            for name in wanted:
+                if name not in functions:
+                    functions[name] = make(name)
+            here = dict(_here.__dict__)
+
+            def load(name: str) -> None:
+                _here.__dict__.update(here)
+                functions[name](kept.filter(F.col(column) == name).drop(column), batch_id)
+
+            with ThreadPoolExecutor(TOGETHER) as pool:
+                list(pool.map(load, wanted))  # an error of any table fails the batch
         finally:
             rows.unpersist()
 
@@ -124,10 +176,8 @@ def typed_payload(batch: Callable[[DataFrame, int], None], column: str = "data")
     def run(rows: DataFrame, batch_id: int) -> None:
         if rows.isEmpty():
             return
-        schema = rows.select(F.schema_of_json_agg(column)).first()[0] if hasattr(F, "schema_of_json_agg") else None
-        if schema is None:
-            spark = rows.sparkSession
-            schema = spark.read.json(rows.select(column).rdd.map(lambda r: r[0])).schema
+        kind = rows.select(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
+        schema = re.sub(r"DECIMAL\(\d+,\d+\)", "DOUBLE", kind.replace("OBJECT<", "STRUCT<")).replace("VOID", "STRING")
         typed = rows.withColumn("_p", F.from_json(column, schema)).drop(column).select("*", "_p.*").drop("_p")
         batch(typed, batch_id)
 
@@ -140,17 +190,17 @@ def empty_table(spark: SparkSession, table: str) -> None:
         sinks.swap(spark.table(table).limit(0), table)
 
 
-def latest_state(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """What a stream of rows amounts to, for comparison with the table that it built."""
-    return latest(rows, keys, order)
-
+def stop(query: StreamingQuery, drain_seconds: int = 15) -> bool:
+    """Let the query take what is there, for so long at most, then end it; whether it took all.
 
-def stop(query: StreamingQuery, drain_seconds: int = 15) -> None:
-    """Let the query take what is there, for so long at most, then end it."""
+    What was not taken stays in the source and comes with the next start from the same checkpoint.
+    """
     worker = threading.Thread(target=query.processAllAvailable, daemon=True)
     worker.start()
     worker.join(drain_seconds)
+    drained = not worker.is_alive()
     query.stop()
+    return drained
 
 
 class Progress(StreamingQueryListener):
@@ -179,7 +229,7 @@ class Progress(StreamingQueryListener):
 
 
 def lag(query: StreamingQuery) -> dict:
-    """Rows of the last batch and, where sources tell it, how far they are behind."""
+    """Rows of the last batch, seconds since it began and, where sources tell it, how far they are behind."""
     p = query.lastProgress
     if p is None:
         return {}
@@ -190,4 +240,5 @@ def lag(query: StreamingQuery) -> dict:
             if "Behind" in k:
                 behind[k] = v
     rows = p["numInputRows"] if isinstance(p, dict) else p.numInputRows
-    return {"rows": rows, **behind}
+    began = datetime.fromisoformat((p["timestamp"] if isinstance(p, dict) else p.timestamp).replace("Z", "+00:00"))
+    return {"rows": rows, "seconds": time.time() - began.timestamp(), **behind}

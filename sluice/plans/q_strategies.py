@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dedup, strategies
+from ..sources import sinks
+from . import workspace
 from .registry import Registry, table
 
 _r = Registry()
@@ -73,9 +75,11 @@ def w1(spark, d):
 
 @_r.add("w2_replace_in_place", f"SELECT * FROM ({_ONE})")
 def w2(spark, d):
-    """The rows that an in-place replacement leaves: the staged ones in the target's columns."""
-    staged = strategies.replace(_target(spark, d), _staged(spark, d), ["o_orderkey"], "version")
-    return staged.select(_target(spark, d).columns)
+    """The table object stays, its rows give way to the staged ones in the target's columns."""
+    name = "sluice_q_" + workspace.path(spark, "t").rpartition("-")[2]
+    sinks.swap(_target(spark, d), name)
+    sinks.replace_in_place(strategies.replace(None, _staged(spark, d), ["o_orderkey"], "version"), name)
+    return spark.table(name)
 
 
 @_r.add("w3_append", f"SELECT * FROM ({_TARGET}) UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM ({_STAGED})")

@@ -199,6 +199,31 @@ def check_support(sink: str, strategy: str) -> None:
         raise ValueError(f"a {sink} sink does not load by {strategy}")
 
 
+def touched(strategy: str, target: DataFrame, staged: DataFrame, parts: list[str], keys: list[str] | None = None,
+            incremental_key: str | None = None, low=None, high=None) -> DataFrame:
+    """Values of the partition columns ``parts`` whose rows a merge or delete+insert may change, repeats included.
+
+    Those of the staged rows, and those of target rows that match a staged key or
+    lie in the interval; of the target only these columns are read. Keys that hold
+    all partition columns cannot match in another partition.
+    """
+    own = staged.select(parts)
+    if strategy == MERGE and not set(parts) <= set(keys):
+        return own.union(target.join(staged.select(keys), keys, "left_semi").select(parts))
+    if strategy == DELETE_INSERT:
+        inside = target.select(*dict.fromkeys([*parts, incremental_key]))
+        kind = target.schema[incremental_key].dataType
+        if low is None and high is None:
+            bounds = staged.agg(F.min(incremental_key).cast(kind).alias("_lo"), F.max(incremental_key).cast(kind).alias("_hi"))
+            inside = inside.join(F.broadcast(bounds), F.col(incremental_key).between(F.col("_lo"), F.col("_hi")))  # one row
+        if low is not None:
+            inside = inside.filter(F.col(incremental_key) >= F.lit(low).cast(kind))
+        if high is not None:
+            inside = inside.filter(F.col(incremental_key) <= F.lit(high).cast(kind))
+        return own.union(inside.select(parts))
+    return own
+
+
 def apply(strategy: str, target: DataFrame, staged: DataFrame, keys: list[str] | None = None,
           incremental_key: str | None = None, stamp=None, low=None, high=None, predicate: C | None = None) -> DataFrame:
     """The target's new rows by the named strategy."""

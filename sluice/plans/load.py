@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column as C
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import masking, naming
 from ..functions.types import Column
@@ -85,10 +86,24 @@ def run(df: DataFrame, load: Load, source_strategy: str | None = None) -> None:
         sinks.append(rows, load.table)
         return
     wide = evolve.evolved(target.schema, evolve.compare(rows.schema, target.schema, tuple(load.keys)))
+    parts = sinks.partition_columns(spark, load.table)
+    if parts and strategy in (strategies.MERGE, strategies.DELETE_INSERT) and _kinds(wide) == _kinds(target.schema):
+        rows = rows.persist()  # read for the partitions and for the rows
+        try:
+            places = strategies.touched(strategy, target, rows, parts, load.keys, load.incremental_key, load.start, load.end)
+            sinks.rewrite(load.table, places, lambda old: strategies.apply(
+                strategy, old, rows, load.keys, load.incremental_key, stamp, load.start, load.end, load.predicate))
+        finally:
+            rows.unpersist()
+        return
     new = strategies.apply(
         strategy, evolve.widen_target(target, wide), rows, load.keys, load.incremental_key, stamp, load.start, load.end, load.predicate
     )
-    sinks.swap(new, load.table, load.partition_by or None)
+    sinks.swap(new, load.table, parts or load.partition_by or None)
+
+
+def _kinds(schema: T.StructType) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in schema.fields}
 
 
 def table_name(schema: str, source: str) -> str:

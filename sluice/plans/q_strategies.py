@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedup, strategies
 from ..sources import sinks
-from . import workspace
+from . import load, workspace
 from .registry import Registry, table
 
 _r = Registry()
@@ -126,6 +126,55 @@ def w5(spark, d):
     return strategies.merge(_target(spark, d), _staged(spark, d), ["o_orderkey"], "version")
 
 
+def _files(spark, name):
+    """The year and name of every file of a table's partitions."""
+    return spark.table(name).select("year", F.col("_metadata.file_path").alias("file")).distinct()
+
+
+def _partitioned(spark, d, strategy, staged, **options):
+    """Load into orders by year: what is in each partition then, and whether its files are other ones."""
+    name = "sluice_q_" + workspace.path(spark, "t").rpartition("-")[2]
+    o = table(spark, d, "orders").filter("o_orderkey % 3 != 0")
+    first = o.select("o_orderkey", "o_orderdate", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    load.run(first, load.Load(name, "replace", stamp=STAMP, style="direct", partition_by=["year"]))
+    noted = workspace.path(spark, "files")
+    _files(spark, name).write.parquet(noted)
+    load.run(staged, load.Load(name, strategy, ["o_orderkey"], "o_orderdate", stamp=STAMP, style="direct", **options))
+    rows = spark.table(name).groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("o_orderstatus") == "R").cast("int")).alias("n_new"))
+    kept = _files(spark, name).join(spark.read.parquet(noted), ["year", "file"]).select("year").distinct().withColumn("same_files", F.lit(True))
+    return rows.join(kept, "year", "left").select("year", "n", "n_new", F.coalesce("same_files", F.lit(False)).alias("same_files"))
+
+
+_PARTITIONED = """
+WITH t AS (SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0), s AS ({staged}),
+r AS (SELECT * FROM s UNION ALL SELECT * FROM t WHERE NOT ({gone})),
+x AS (SELECT year(o_orderdate) AS y FROM s UNION SELECT year(o_orderdate) FROM t WHERE {gone})
+SELECT year(o_orderdate) AS year, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'R') AS n_new,
+  year(o_orderdate) NOT IN (SELECT y FROM x) AS same_files FROM r GROUP BY ALL"""
+
+
+@_r.add("w4_partition_delete_insert", _PARTITIONED.format(
+    staged="SELECT o_orderkey, o_orderdate, 'R' AS o_orderstatus FROM orders WHERE o_orderkey % 5 = 0 AND year(o_orderdate) = 1996",
+    gone="coalesce(t.o_orderdate BETWEEN TIMESTAMP '1995-12-01' AND TIMESTAMP '1996-12-31 23:59:59', FALSE)"))
+def w4d(spark, d):
+    """An interval of a table by year: other years keep their files."""
+    o = table(spark, d, "orders").filter("o_orderkey % 5 = 0 and year(o_orderdate) = 1996")
+    staged = o.select("o_orderkey", "o_orderdate", F.lit("R").alias("o_orderstatus"), F.year("o_orderdate").alias("year"))
+    return _partitioned(spark, d, "delete+insert", staged, start="1995-12-01 00:00:00", end="1996-12-31 23:59:59")
+
+
+@_r.add("w5_partition_merge", _PARTITIONED.format(
+    staged="""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN o_orderdate + INTERVAL 1 YEAR ELSE o_orderdate END AS o_orderdate, 'R' AS o_orderstatus
+      FROM orders WHERE o_orderkey % 2 = 0 AND year(o_orderdate) = 1994""",
+    gone="t.o_orderkey IN (SELECT o_orderkey FROM s)"))
+def w5d(spark, d):
+    """Changed and new orders of one year, some of which move to the next: only these two partitions are rewritten."""
+    o = table(spark, d, "orders").filter("o_orderkey % 2 = 0 and year(o_orderdate) = 1994")
+    day = F.when(F.col("o_orderkey") % 4 == 0, F.col("o_orderdate") + F.make_ym_interval(F.lit(1), F.lit(0))).otherwise(F.col("o_orderdate"))
+    staged = o.select("o_orderkey", day.alias("o_orderdate"), F.lit("R").alias("o_orderstatus"))
+    return _partitioned(spark, d, "merge", staged.withColumn("year", F.year("o_orderdate")))
+
+
 @_r.add("w5_merge_composite_key", """
 WITH t AS (SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem WHERE l_orderkey % 2 = 0),
 s AS (SELECT l_orderkey, l_linenumber, max(l_quantity + 1) AS l_quantity FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY ALL)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import evolve
@@ -60,28 +63,106 @@ def _place(spark: SparkSession, table: str) -> str:
     return f"{base}/_loads/{table.replace('.', '/')}/{uuid.uuid4().hex}"
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    """The columns by which a catalog table is partitioned."""
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _columns(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def swap(df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
     """Replace a Parquet table by rows that may be computed from it.
 
     The rows go to a new folder, and the catalog entry is pointed at it when they
-    are complete, so readers see the old or the new table and never a part. Two
+    are complete, so readers see the old or the new table and never a part. New
+    columns at the end are added to the entry first, where the old files read as
+    null. A partitioned table changes partition by partition. Any other change of
+    the schema drops the entry and makes it again, which is not one step. Two
     loads of one table at once are not supported.
     """
     spark = df.sparkSession
+    there = exists(spark, table)
+    if there and partition_by and partition_columns(spark, table) == partition_by and _kinds(df) == _kinds(spark.table(table)):
+        old = spark.table(table)
+        rewrite(table, old.select(partition_by).union(df.select(partition_by)), lambda _: df)
+        return
     path = _place(spark, table)
     write = df.write.option("compression", "snappy")
     (write.partitionBy(*partition_by) if partition_by else write).parquet(path)
-    same = exists(spark, table) and spark.table(table).schema == spark.read.parquet(path).schema
-    if same and not partition_by:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
-        return
+    if there and not partition_by and not partition_columns(spark, table):
+        old, new = spark.table(table).schema.fields, spark.read.parquet(path).schema.fields
+        if [(f.name, f.dataType) for f in old] == [(f.name, f.dataType) for f in new[: len(old)]]:
+            if len(new) > len(old):
+                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns(T.StructType(new[len(old):]))})")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            return
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.catalog.createTable(table, path=path, source="parquet")
+    by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {table} ({_columns(df.schema)}) USING parquet {by} LOCATION '{path}'")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
+def _kinds(df: DataFrame) -> dict[str, str]:
+    return dict(df.dtypes)
+
+
+def _spec(row: Row, columns: list[str]) -> str:
+    def literal(value: str | None) -> str:
+        return "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return ", ".join(f"`{c}` = {literal(row[c])}" for c in columns)
+
+
+def rewrite(table: str, touched: DataFrame, make: Callable[[DataFrame], DataFrame]) -> int:
+    """Give the ``touched`` partitions of a partitioned table new rows; returns how many they are.
+
+    ``make`` gets the old rows of these partitions, read with partition pruning,
+    and returns the new ones, all of which must belong to them. They go to new
+    folders; then each partition's entry is pointed at its own, new partitions are
+    added and those without rows left are dropped. Files of other partitions are
+    neither read nor written. A partition changes in one step, all of them together
+    do not: a load that fails in between is run again. What comes to the driver is
+    one row per touched partition, as in the catalog.
+    """
+    spark = touched.sparkSession
+    columns = partition_columns(spark, table)
+    target = spark.table(table)
+    name = F.sha2(F.to_json(F.struct(*(F.col(c).cast(target.schema[c].dataType) for c in columns))), 256)
+    texts = (F.col(c).cast(target.schema[c].dataType).cast("string").alias(c) for c in columns)
+    parts = {row["_part"]: row for row in touched.select(*texts, name.alias("_part")).distinct().collect()}
+    if not parts:
+        return 0
+    if len(columns) == 1:
+        values = [row[columns[0]] for row in parts.values()]
+        here = F.col(columns[0]).isin([v for v in values if v is not None])
+        here = here | F.col(columns[0]).isNull() if None in values else here
+    else:
+        every = (reduce(lambda a, c: a & F.col(c).eqNullSafe(F.lit(row[c]).cast(target.schema[c].dataType)), columns, F.lit(True)) for row in parts.values())
+        here = reduce(lambda a, b: a | b, every)
+    rows = make(target.filter(here)).select(target.columns)
+    path = _place(spark, table)
+    rows.withColumn("_part", name).drop(*columns).write.option("compression", "snappy").partitionBy("_part").parquet(path)
+    written = {r[0] for r in spark.read.schema("_part string").parquet(path).distinct().collect()}
+    if not written <= set(parts):
+        raise ValueError(f"{len(written - set(parts))} partitions of {table} got rows but are not among the touched ones")
+    known = {tuple(r) for r in target.filter(here).select(*(F.col(c).cast("string") for c in columns)).distinct().collect()}
+    for part, row in parts.items():
+        spec, there = _spec(row, columns), tuple(row[c] for c in columns) in known
+        if part not in written:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        elif there:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{path}/_part={part}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")  # an entry without rows
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{path}/_part={part}'")
+    spark.catalog.refreshTable(table)
+    return len(parts)
+
+
 def replace_in_place(df: DataFrame, table: str) -> None:
     """The table object stays, its rows go; the staged rows must not come from the table itself."""
     df.select(df.sparkSession.table(table).columns).write.insertInto(table, overwrite=True)
@@ -101,7 +182,7 @@ def evolve_table(spark: SparkSession, table: str, schema: T.StructType) -> list[
     statements, warnings = evolve.ddl(table, changes)
     if warnings:
         old = spark.table(table)
-        swap(evolve.widen_target(old, evolve.evolved(old.schema, changes)), table)
+        swap(evolve.widen_target(old, evolve.evolved(old.schema, changes)), table, partition_columns(spark, table) or None)
         return warnings
     for s in statements:
         spark.sql(s)
@@ -110,7 +191,5 @@ def evolve_table(spark: SparkSession, table: str, schema: T.StructType) -> list[
 
 def lake_merge(staged: DataFrame, table: str, keys: list[str], view: str = "t") -> None:
     """MERGE INTO a table of a format that supports it, as one atomic snapshot."""
-    from pyspark.sql import functions as F
-
     on = " AND ".join(f"{table}.{k} = {view}.{k}" for k in keys)
     staged.alias(view).mergeInto(table, F.expr(on)).whenMatched().updateAll().whenNotMatched().insertAll().merge()

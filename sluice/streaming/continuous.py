@@ -83,8 +83,10 @@ def in_flushes(batch: Callable[[DataFrame, int], None], rows: int = FLUSH_ROWS,
     return run
 
 
-def merge_into(table: str, keys: list[str], order: str | None = None, cdc: bool = False) -> Callable[[DataFrame, int], None]:
-    """A batch function that merges into a catalog table, evolving it first."""
+def merge_into(
+    table: str, keys: list[str], order: str | None = None, cdc: bool = False, partition_by: list[str] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """A batch function that merges into a catalog table, evolving it first; of a partitioned one only what a flush touches is rewritten."""
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
@@ -92,14 +94,19 @@ def merge_into(table: str, keys: list[str], order: str | None = None, cdc: bool
             return
         if not sinks.exists(spark, table):
             first = changes.drop_staging_columns(rows).limit(0)
-            sinks.swap(first, table)
+            sinks.swap(first, table, partition_by)
         target = spark.table(table)
+        parts = sinks.partition_columns(spark, table)
         if cdc:
-            new = changes.cdc_merge(target, rows, keys)
+            schema = target.schema
+            merged = lambda old: changes.cdc_merge(old, rows, keys)
         else:
             rows, schema = evolve.apply_contract(rows, target.schema, "evolve", tuple(keys))
-            new = strategies.upsert(evolve.widen_target(target, schema), rows, keys, order)
-        sinks.swap(new, table)
+            merged = lambda old: strategies.upsert(evolve.widen_target(old, schema), rows, keys, order)
+        if parts and dict.fromkeys(schema.fieldNames()) == dict.fromkeys(target.columns) and all(schema[c].dataType == target.schema[c].dataType for c in target.columns):
+            sinks.rewrite(table, strategies.touched(strategies.MERGE, target, rows, parts, keys), merged)
+        else:
+            sinks.swap(merged(target), table, parts or None)
 
     return batch
 
@@ -187,7 +194,7 @@ def typed_payload(batch: Callable[[DataFrame, int], None], column: str = "data")
 def empty_table(spark: SparkSession, table: str) -> None:
     """All rows gone, the table stays."""
     if sinks.exists(spark, table):
-        sinks.swap(spark.table(table).limit(0), table)
+        sinks.swap(spark.table(table).limit(0), table, sinks.partition_columns(spark, table) or None)
 
 
 def stop(query: StreamingQuery, drain_seconds: int = 15) -> bool:

@@ -154,3 +154,37 @@ def test_row_identity_follows_long_chains_and_cycles(spark):
     out = changes.row_identity(spark.createDataFrame(rows, "id long, old_id long, seq long"), "id", "old_id")
     got = {r.id: r.row_id for r in out.collect()}
     assert got == {**{k: 0 for k in range(51)}, **{k: 100 for k in (100, 101, 102, 110)}, 300: 300}
+
+
+def test_rewrite_touches_only_its_partitions(spark):
+    spark.sql("DROP TABLE IF EXISTS t_parts")
+    rows = [(1, "a", "007"), (2, "b", "x y/z=%1'q"), (3, "c", None), (4, "d", "9")]
+    sinks.swap(spark.createDataFrame(rows, "id long, name string, p string"), "t_parts", ["p"])
+    assert sinks.partition_columns(spark, "t_parts") == ["p"] and spark.table("t_parts").schema["p"].dataType.simpleString() == "string"
+    assert sorted(map(repr, spark.table("t_parts").collect())) == sorted(map(repr, (spark.createDataFrame(rows, "id long, name string, p string").collect())))
+    files = lambda: {tuple(r) for r in spark.table("t_parts").select("p", "_metadata.file_path").collect()}
+    before = files()
+    # 1 changes, 2 moves to a new partition, 3 stays, 5 is new in the null partition
+    staged = spark.createDataFrame([(1, "A", "007"), (2, "B", "new"), (5, "e", None)], "id long, name string, p string")
+    places = strategies.touched("merge", spark.table("t_parts"), staged, ["p"], ["id"])
+    assert sinks.rewrite("t_parts", places, lambda old: strategies.upsert(old, staged, ["id"])) == 4
+    got = sorted((r.id, r.name, r.p) for r in spark.table("t_parts").collect())
+    assert got == [(1, "A", "007"), (2, "B", "new"), (3, "c", None), (4, "d", "9"), (5, "e", None)]
+    assert {x for x in before if x[0] == "9"} == {x for x in files() if x[0] == "9"}
+    assert not before & {x for x in files() if x[0] != "9"}
+    with pytest.raises(ValueError):
+        sinks.rewrite("t_parts", staged.select("p").limit(0).union(spark.createDataFrame([("9",)], "p string")), lambda old: staged)
+    assert sinks.rewrite("t_parts", staged.limit(0), lambda old: old) == 0
+    load.run(staged.filter("id = 5"), load.Load("t_parts", "merge", ["id"], style="direct"))  # a new column: all partitions
+    assert spark.table("t_parts").count() == 5 and sinks.partition_columns(spark, "t_parts") == ["p"]
+    sinks.swap(spark.table("t_parts").filter("id > 3"), "t_parts", ["p"])
+    assert sorted(r.id for r in spark.table("t_parts").collect()) == [4, 5]
+
+
+def test_swap_adds_columns_without_dropping_the_table(spark, base):
+    spark.sql("DROP TABLE IF EXISTS t_wider")
+    sinks.swap(base, "t_wider")
+    spark.sql("COMMENT ON TABLE t_wider IS 'kept'")
+    sinks.swap(spark.table("t_wider").selectExpr("*", "1 AS more"), "t_wider")
+    assert spark.table("t_wider").columns[-1] == "more" and spark.table("t_wider").filter("more = 1").count() == base.count()
+    assert "kept" in str(spark.sql("DESCRIBE TABLE EXTENDED t_wider").collect())

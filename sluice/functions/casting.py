@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column as C
@@ -13,12 +14,32 @@ from .types import Column
 TRUE_WORDS = ("1", "t", "true", "yes", "y", "on")
 FALSE_WORDS = ("0", "f", "false", "no", "n", "off", "")
 
-#: Formats that the lenient date and time parser knows, tried in order.
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd.MM.yyyy", "MM/dd/yyyy", "yyyyMMdd", "d MMM yyyy", "MMM d, yyyy")
-TIMESTAMP_FORMATS = (
-    "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "dd.MM.yyyy HH:mm:ss", "yyyyMMdd'T'HHmmss",
-    "d MMM yyyy HH:mm:ss z", "MMM d, yyyy HH:mm:ss",
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
+_MONTH = (
+    "(?i:(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?"
+    "|nov(?:ember)?|dec(?:ember)?))[.]?"
 )
+_DAY = r"(\d{1,2})(?:st|nd|rd|th)?"
+#: Rewrites of dates in free form to year-month-day, each a no-op where it does not match. Months come before days
+#: between slashes, after them between dots.
+_REWRITES = (
+    (r"^(?i:(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?)[.]?,? +", ""),
+    (r"(?i),? +at +(?=\d)", " "),
+    (rf"^{_MONTH} +{_DAY} +(\d{{1,2}}:\d{{2}}(?::\d{{2}}(?:[.]\d+)?)?)( [A-Z]{{3,4}}| [+-]\d{{4}})? +(\d{{4}})$", "$5-$1-$2 $3$4"),
+    (rf"^{_DAY}[ /-]+(?:of )?{_MONTH}[ /,-]+(\d{{4}})(?!\d)", "$3-$2-$1"),
+    (rf"^{_MONTH}[ /-]+{_DAY},? +(\d{{4}})(?!\d)", "$3-$1-$2"),
+    (rf"^(\d{{4}})[ /-]{_MONTH}[ /-]{_DAY}(?!\d)", "$1-$2-$3"),
+    (r"^(\d{4})年(\d{1,2})月(\d{1,2})日 ?", "$1-$2-$3 "),
+    (r"^(\d{4})(\d{2})(\d{2})[T ]?(\d{2})(\d{2})(\d{2})(?!\d)", "$1-$2-$3 $4:$5:$6"),
+    (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),
+    (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})(?!\d)", "$1-$2-$3"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})(?!\d)", "$3-$1-$2"),
+    (r"^(\d{1,2})/(\d{1,2})/([0-6]\d)(?!\d)", "20$3-$1-$2"),
+    (r"^(\d{1,2})/(\d{1,2})/([7-9]\d)(?!\d)", "19$3-$1-$2"),
+    (r"^(\d{1,2})[.](\d{1,2})[.](\d{4})(?!\d)", "$3-$2-$1"),
+    (r"^(\d{4}-\w+-\d+)[T, ]+(?=\d)", "$1 "),
+)
+_CLOCK = r"(?i)^(\S+) (\d{1,2})(:\d{2}(?::\d{2}(?:[.]\d+)?)?) ?([ap])[.]?m[.]?(.*)$"
 
 
 def try_each(options: list[C]) -> C:
@@ -48,18 +69,49 @@ def epoch_to_timestamp(c: C) -> C:
 
 
 def to_date(c: C) -> C:
-    """Text to date: ISO first, then a fixed list of formats."""
+    """Text to date: the date that an ISO text begins with, else what ``to_timestamp`` finds."""
     text = F.trim(c.cast("string"))
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd")).cast("date"))
-    return try_each([iso, *(F.try_to_timestamp(text, F.lit(f)).cast("date") for f in DATE_FORMATS[1:]), to_timestamp(text).cast("date")])
+    return try_each([iso, to_timestamp(text).cast("date")])
+
+
+def _bind(value: C, use: Callable[[C], C]) -> C:
+    """``use(value)`` with the value written once, however often it is used: plans stay small."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _numbered_month(text: C) -> C:
+    month = F.regexp_extract(text, r"^\d{4}-([A-Za-z]{3})", 1)
+    number = ((F.instr(F.lit(_MONTHS), F.lower(month)) + 3) / 4).cast("int").cast("string")
+    return F.when(month != "", F.concat(F.substring(text, 1, 5), number, F.regexp_replace(text, r"^\d{4}-[A-Za-z]+", ""))).otherwise(text)
+
+
+def _full_day(text: C) -> C:
+    part = lambda k: F.regexp_extract(text, _CLOCK, k)
+    hour = part(2).try_cast("int") % 12 + F.when(F.lower(part(4)) == "p", 12).otherwise(0)
+    clock = F.concat(part(1), F.lit(" "), hour.cast("string"), part(3), part(5))
+    return F.when(text.rlike(_CLOCK), clock).otherwise(text)
+
+
+def _free_form(text: C) -> C:
+    """Text with a date in one of many written forms to timestamp."""
+    for pattern, new in _REWRITES:
+        text = F.regexp_replace(text, pattern, new)
+    ready = _bind(_bind(F.trim(text), _numbered_month), _full_day)
+    return _bind(ready, lambda t: F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?: \d{1,2}:\d{2}.*)?$"), t.try_cast("timestamp")))
 
 
 def to_timestamp(c: C) -> C:
-    """Text to timestamp: ISO with or without zone first, then a fixed list of formats."""
+    """Text to timestamp: ISO with or without zone, seconds to nanoseconds since 1970 as digits, or a date in free form.
+
+    Free form: year, month and day in the usual orders, months by number or English
+    name, with a weekday before and a time of day (12 or 24 hours, zone) after them.
+    """
     text = F.trim(c.cast("string"))
-    text = F.regexp_replace(text, r"^[A-Z][a-z]{2}, ", "")  # the name of the day
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{1,2}:\d{2}.*)?$"), text.try_cast("timestamp"))
-    return try_each([iso, *(F.try_to_timestamp(text, F.lit(f)) for f in (*TIMESTAMP_FORMATS, *DATE_FORMATS[1:]))])
+    epoch = F.when(text.rlike(r"^(?:\d{10}|\d{13}|\d{16}|\d{19})$"), epoch_to_timestamp(text.try_cast("long")))
+    free = F.when(text.rlike(r"\d.*\d"), _free_form(text))
+    return try_each([iso, epoch, free])
 
 
 def to_time(c: C) -> C:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +66,18 @@ def t5(spark, d):
     return table(spark, d, "orders").select("o_orderkey", casting.to_date(text).alias("day"))
 
 
+@_r.add("t5_free_form_timestamps", "SELECT event_id, date_trunc('second', ts) AS at FROM events")
+def t5b(spark, d):
+    """Times of events written in eight forms, all read back."""
+    forms = (
+        "EEEE, d MMMM yyyy HH:mm:ss", "MMM d, yyyy h:mm:ss a", "EEE MMM d HH:mm:ss yyyy", "yyyyMMddHHmmss", "M/d/yyyy h:mm:ss a",
+        "dd-MMM-yyyy HH:mm:ss", "yyyy/M/d HH:mm:ss", "EEE, dd MMM yyyy HH:mm:ss 'GMT'",
+    )
+    at = F.pmod(F.col("event_id"), F.lit(len(forms)))
+    text = reduce(lambda out, k: F.when(at == k, F.date_format("ts", forms[k])).otherwise(out), range(len(forms)), F.lit(None).cast("string"))
+    return table(spark, d, "events").select("event_id", casting.to_timestamp(text).alias("at"))
+
+
 @_r.add("t6_json_array", """
 SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) || '|' || c_mktsegment END AS parts FROM customer""")
 def t6(spark, d):

@@ -11,7 +11,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sluice.functions import masking, naming
+from sluice.functions import casting, masking, naming
 from sluice.functions.types import Column, can_widen, merge_kinds, parse_type, widened
 from sluice.operators import infer, transforms
 from sluice.sources import partitions, registry, scans
@@ -148,3 +148,19 @@ def test_stop_drains(spark, sf_dir, tmp_path):
     query = continuous.start(stream, lambda rows, i: seen.append(rows.count()), str(tmp_path / "c"), seconds=0)
     continuous.stop(query)
     assert sum(seen) == 5 and not query.isActive and continuous.lag(query)["rows"] in (0, 5)
+
+
+def test_dates_in_free_form(spark):
+    day, moment = "2006-01-02 00:00:00", "2006-01-02 15:04:05"
+    cases = {
+        "2006-01-02": day, "2006/1/2": day, "1/2/2006": day, "01/02/06": day, "02.01.2006": day, "20060102": day, "2 Jan 2006": day,
+        "2nd of January 2006": day, "January 2, 2006": day, "Jan. 2nd, 2006": day, "02-Jan-2006": day, "2006-Jan-02": day, "2006年1月2日": day,
+        "Monday, 2 January 2006 15:04:05": moment, "Mon Jan  2 15:04:05 2006": moment, "Mon Jan 2 15:04:05 UTC 2006": moment,
+        "Mon, 02 Jan 2006 15:04:05 GMT": moment, "Mon, 02 Jan 2006 16:04:05 +0100": moment, "1/2/2006 3:04:05 PM": moment,
+        "January 2, 2006 at 3:04:05 p.m.": moment, "20060102T150405": moment, "2006-01-02T15:04:05Z": moment, "2006-01-02 16:04:05+01:00": moment,
+        "1136214245": moment, "1136214245000": moment, "7/4/99 12:30 am": "1999-07-04 00:30:00",
+        "some day": None, "2006": None, "12": None, "13/13/2006": None, "version 10:20": None, "": None, "2006-02-30": None, "call 555-0147": None,
+    }
+    rows = spark.createDataFrame([(t,) for t in [*cases, None]], "t string")
+    got = {r.t: r.at for r in rows.select("t", casting.to_timestamp(F.col("t")).cast("string").alias("at")).collect()}
+    assert got == {**cases, None: None}

@@ -13,9 +13,8 @@ def test_query_matches_sql(spark, sf_dir, name):
     assert of_spark(catalog.QUERIES[name](spark, sf_dir)) == of_duckdb(catalog.ORACLE_SQL[name], sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE_SQL)))
-def test_query_runs(spark, sf_dir, name):
-    assert catalog.QUERIES[name](spark, sf_dir).count() >= 0
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL)
 
 
 def test_entry(spark):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice.operators import changes, evolve, strategies
 from sluice.plans import load
 from sluice.sources import sinks
+from sluice.streaming import continuous
 
 
 def pairs(df, *columns):
@@ -188,3 +189,18 @@ def test_swap_adds_columns_without_dropping_the_table(spark, base):
     sinks.swap(spark.table("t_wider").selectExpr("*", "1 AS more"), "t_wider")
     assert spark.table("t_wider").columns[-1] == "more" and spark.table("t_wider").filter("more = 1").count() == base.count()
     assert "kept" in str(spark.sql("DESCRIBE TABLE EXTENDED t_wider").collect())
+
+
+def test_stream_merge_rewrites_what_a_flush_touches(spark):
+    spark.sql("DROP TABLE IF EXISTS t_flush")
+    batch = continuous.merge_into("t_flush", ["id"], partition_by=["p"])
+    row = "id long, v string, p string"
+    batch(spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "z")], row), 0)
+    where = lambda: {(r.p, r.file_path) for r in spark.table("t_flush").select("p", "_metadata.file_path").collect()}
+    before = where()
+    batch(spark.createDataFrame([(2, "B", "y"), (3, "C", "w")], row), 1)
+    assert sorted((r.id, r.v, r.p) for r in spark.table("t_flush").collect()) == [(1, "a", "x"), (2, "B", "y"), (3, "C", "w")]
+    assert {f for f in before if f[0] == "x"} <= where() and not {f for f in before if f[0] != "x"} & where()
+    batch(spark.createDataFrame([(4, "d", "x", 7)], row + ", more int"), 2)  # a new column: the whole table, still by partitions
+    assert sinks.partition_columns(spark, "t_flush") == ["p"] and spark.table("t_flush").filter("more = 7").count() == 1
+    assert spark.table("t_flush").count() == 4

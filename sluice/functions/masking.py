@@ -7,10 +7,12 @@ import secrets
 from collections.abc import Callable
 
 from pyspark.sql import Column as C
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans import workspace
+
 
 def _text(c: C) -> C:
     return c.cast("string")
@@ -180,13 +182,21 @@ def uuid_token(c: C, salt: str) -> C:
 def sequential_tokens(df: DataFrame, name: str) -> DataFrame:
     """Values replaced by their number in sorted order, from 1, through a table of the distinct ones.
 
-    The sorted table is numbered by ``zipWithIndex``, which counts the rows of
-    each range partition first, so that no task sees all of them.
+    The sorted values are written once with their place in their range partition
+    (``monotonically_increasing_id`` has the partition in its upper bits); a
+    partition's first number is one more than the rows of those before it, so no
+    task sees all values. Only the partitions' counts, a row each, meet in one task.
     """
     value = F.col(name).cast("string")
     distinct = df.select(value.alias("_value")).distinct().dropna()
-    numbered = distinct.orderBy("_value").rdd.zipWithIndex().map(lambda x: (x[0][0], x[1] + 1))
-    table = df.sparkSession.createDataFrame(numbered, "_value string, _token long")
+    path = workspace.path(df.sparkSession, "values")
+    distinct.orderBy("_value").withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    placed = df.sparkSession.read.schema("_value string, _at long").parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    firsts = firsts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
+    place = F.col("_at").bitwiseAND((1 << 33) - 1)
+    table = placed.join(F.broadcast(firsts), "_part").select("_value", (F.col("_first") + place + 1).alias("_token"))
     out = df.join(table, value == F.col("_value"), "left")
     return out.select(*(F.col("_token").alias(name) if c == name else F.col(c) for c in df.columns))
 

@@ -136,7 +136,7 @@ def c8(spark, d):
 
 def _cdc(spark, d):
     """Events as changes of their users: errors delete, everything else sets the value."""
-    e = table(spark, d, "events").filter("event_id % 4 != 0")
+    e = table(spark, d, "events")
     return e.select(
         F.col("user_id").alias("k"), F.when(F.col("event_type") != "error", F.col("value")).alias("v"), F.col("event_type").alias("w"),
         F.lpad(F.col("event_id").cast("string"), 12, "0").alias("_cdc_lsn"), (F.col("event_type") == "error").alias("_cdc_deleted"),
@@ -155,7 +155,7 @@ def _users(spark, d):
 
 
 _CDC = """
-WITH c AS (SELECT user_id AS k, CASE WHEN event_type <> 'error' THEN value END AS v, event_type AS w, lpad(CAST(event_id AS VARCHAR), 12, '0') AS lsn, event_type = 'error' AS del, ts FROM events WHERE event_id % 4 <> 0),
+WITH c AS (SELECT user_id AS k, CASE WHEN event_type <> 'error' THEN value END AS v, event_type AS w, lpad(CAST(event_id AS VARCHAR), 12, '0') AS lsn, event_type = 'error' AS del, ts FROM events),
 act AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY lsn DESC) AS rn FROM c WHERE NOT del) WHERE rn = 1),
 lst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY lsn DESC) AS rn FROM c) WHERE rn = 1),
 t AS (SELECT DISTINCT user_id AS k, CASE WHEN user_id % 8 = 0 THEN '000999999999' ELSE '000000000100' END AS lsn FROM events WHERE user_id % 2 = 0)

@@ -292,8 +292,10 @@ def j2(spark, d):
 @_r.add("j3_explode_history", """
 SELECT user_id AS id, event_type AS property, event_id AS version, value FROM events""")
 def j3(spark, d):
-    entries = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.collect_list(F.struct(F.col("event_id").alias("version"), "value")).alias("e"))
-    nested = entries.groupBy(F.col("user_id").alias("id")).agg(F.map_from_entries(F.collect_list(F.struct("event_type", "e"))).alias("props"))
+    """One history per user and thousand of events."""
+    events = table(spark, d, "events").withColumn("lot", F.floor(F.col("event_id") / 1000))
+    entries = events.groupBy("user_id", "lot", "event_type").agg(F.collect_list(F.struct(F.col("event_id").alias("version"), "value")).alias("e"))
+    nested = entries.groupBy(F.col("user_id").alias("id"), "lot").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "e"))).alias("props"))
     return reshape.explode_history(nested, "id", "props")
 
 
@@ -306,8 +308,9 @@ def j4(spark, d):
 @_r.add("j5_explode_buckets", """
 SELECT date_trunc('day', ts) AS start_time, event_type, value FROM events""")
 def j5(spark, d):
+    """Buckets of a day and thousand of events."""
     day = F.date_trunc("day", "ts").alias("start_time")
-    buckets = table(spark, d, "events").groupBy(day).agg(F.collect_list(F.struct("event_type", "value")).alias("results"))
+    buckets = table(spark, d, "events").groupBy(day, F.floor(F.col("event_id") / 1000).alias("lot")).agg(F.collect_list(F.struct("event_type", "value")).alias("results"))
     return reshape.explode_buckets(buckets, "results", ("start_time",))
 
 

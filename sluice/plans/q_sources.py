@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date, datetime, timedelta
 from functools import reduce
 
@@ -84,12 +85,13 @@ def s7(spark, d):
     return scans.json_lines(spark, path, "event_id bigint, event_type string, value double")
 
 
-@_r.add("s8_json_array", "SELECT n_nationkey, n_name FROM nation")
+@_r.add("s8_json_array", "SELECT s_suppkey, s_name FROM supplier")
 def s8(spark, d):
+    """A file per thousand suppliers, each one array."""
     path = workspace.path(spark, "json")
-    doc = table(spark, d, "nation").agg(F.to_json(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("value"))
-    doc.coalesce(1).write.text(path)
-    return scans.json_document(spark, path, "n_nationkey int, n_name string")
+    lots = table(spark, d, "supplier").groupBy(F.floor(F.col("s_suppkey") / 1000).alias("lot"))
+    lots.agg(F.to_json(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("value")).write.partitionBy("lot").text(path)
+    return scans.json_document(spark, path, "s_suppkey long, s_name string").drop("lot")
 
 
 @_r.add("s9_parquet", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
@@ -97,12 +99,21 @@ def s9(spark, d):
     return scans.parquet(spark, f"{d}/customer.parquet", exclude=["c_mktsegment"])
 
 
-@_r.add("s12_file_listing", "SELECT TRUE AS listed, count(*) > 0 AS some FROM region")
+@_r.add("s12_file_listing", "SELECT o_orderkey, o_orderkey % 2 = 0 AS deep, o_orderkey % 2 = 1 AS upper FROM orders")
 def s12(spark, d):
+    """Which listings have the file of each order: all below a folder, those right in it, and none by another suffix."""
     path = workspace.path(spark, "files")
-    table(spark, d, "region").repartition(3).write.parquet(path)
-    files = scans.list_files(spark, path, "*.parquet")
-    return files.agg(F.bool_and(F.col("path").endswith(".parquet")).alias("listed"), (F.count(F.lit(1)) > 0).alias("some"))
+    o = table(spark, d, "orders").select("o_orderkey")
+    o.filter("o_orderkey % 2 = 1").write.parquet(f"{path}/top")
+    o.filter("o_orderkey % 2 = 0").write.parquet(f"{path}/top/below/far")
+    name = lambda c: F.element_at(F.split(c, "/"), -1).alias("file")
+    every = scans.list_files(spark, f"{path}/top", "*.parquet").select(name("path"), F.lit(True).alias("listed"))
+    upper = scans.list_files(spark, f"{path}/top/*.parquet", recursive=False).select(name("path"), F.lit(True).alias("upper"))
+    other = scans.list_files(spark, f"{path}/top", "*.csv").select(name("path"))
+    rows = scans.with_file_columns(scans.parquet(spark, [f"{path}/top/*.parquet", f"{path}/top/below/far"]))
+    rows = rows.withColumn("file", name("_file_path")).join(every, "file").join(other, "file", "left_anti").join(upper, "file", "left")
+    upper = F.coalesce("upper", F.lit(False))
+    return rows.select("o_orderkey", (F.col("listed") & ~upper).alias("deep"), upper.alias("upper"))
 
 
 @_r.add("s14_file_columns", "SELECT o_orderkey, TRUE AS has_path, TRUE AS has_time FROM orders")
@@ -111,13 +122,18 @@ def s14(spark, d):
     return f.select("o_orderkey", F.col("_file_path").contains("orders.parquet").alias("has_path"), F.col("_file_modified").isNotNull().alias("has_time"))
 
 
-@_r.add("s15_files_between", "SELECT n_nationkey, TRUE AS kept FROM nation")
+@_r.add("s15_files_between", "SELECT o_orderkey, o_orderkey % 2 = 0 AS late FROM orders")
 def s15(spark, d):
-    """Files newer than the interval's end are left out, files at or after its start are read."""
-    n = table(spark, d, "nation")
-    new = scans.files_between(n, "1971-01-01").select("n_nationkey", F.lit(True).alias("kept"))
-    old = scans.files_between(n, None, "1971-01-01").select("n_nationkey", F.lit(False).alias("kept"))
-    return new.unionByName(old)
+    """Files at the interval's start are read, files at its end are not: each order comes from one of two intervals that meet."""
+    path = workspace.path(spark, "files")
+    o = table(spark, d, "orders").select("o_orderkey")
+    o.filter("o_orderkey % 2 = 1").write.parquet(f"{path}/early")
+    time.sleep(1.1)  # stores may keep whole seconds
+    o.filter("o_orderkey % 2 = 0").write.parquet(f"{path}/late")
+    edge = scans.list_files(spark, f"{path}/late", "*.parquet").agg(F.min("modified").alias("t")).first()["t"]
+    both = scans.parquet(spark, [f"{path}/early", f"{path}/late"])
+    late = scans.files_between(both, edge).select("o_orderkey", F.lit(True).alias("late"))
+    return late.unionByName(scans.files_between(both, None, edge).select("o_orderkey", F.lit(False).alias("late")))
 
 
 @_r.add("s16_table_scan", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice BETWEEN 1000 AND 50000")

@@ -87,8 +87,8 @@ def json_document(spark: SparkSession, path, schema: T.StructType | str | None =
 
 
 def parquet(spark: SparkSession, path, exclude: list[str] | None = None) -> DataFrame:
-    """Files, folders or globs, without the excluded columns."""
-    return spark.read.parquet(path).drop(*(exclude or []))
+    """A file, folder or glob, or a list of them, without the excluded columns."""
+    return spark.read.parquet(*([path] if isinstance(path, str) else path)).drop(*(exclude or []))
 
 
 def avro(spark: SparkSession, path) -> DataFrame:

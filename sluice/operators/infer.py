@@ -23,7 +23,7 @@ def tag(value: C, numbers: bool = True, words: bool = False) -> C:
     ``words``: the text is a raw JSON value, so quoted text is text.
 
     The trimmed text is bound by a lambda: it is used dozens of times, and spelled
-    out each time the generated code of a wide table would be too large to compile.
+    out each time the generated code would be too large to compile.
     """
     return F.get(F.transform(F.array(F.trim(value)), lambda text: _tag(text, numbers, words)), F.lit(0))
 
@@ -52,15 +52,20 @@ def _tag(text: C, numbers: bool, words: bool) -> C:
 
 
 def observe(df: DataFrame, numbers: bool = True, words: bool = False) -> dict[str, tuple[int, int]]:
-    """Per text column: the mask of kinds seen and the number of non-null values, from one pass."""
+    """Per text column: the mask of kinds seen and the number of non-null values, from one pass.
+
+    Values become rows under their column's number, so that the plan has the
+    tests of a value once, however wide the table is; tasks combine their rows
+    before the shuffle, and a row per column comes back.
+    """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not texts:
         return {}
-    aggs = []
-    for k, c in enumerate(texts):
-        aggs += [F.bit_or(tag(F.col(f"`{c}`"), numbers, words)).alias(f"m{k}"), F.count(F.col(f"`{c}`")).alias(f"n{k}")]
-    row = df.agg(*aggs).first()
-    return {c: (row[f"m{k}"] or 0, row[f"n{k}"]) for k, c in enumerate(texts)}
+    values = F.array(*(F.struct(F.lit(k).alias("column"), F.col(f"`{c}`").alias("value")) for k, c in enumerate(texts)))
+    rows = df.select(F.explode(values).alias("v")).select("v.column", "v.value").filter("value is not null")
+    seen = rows.groupBy("column").agg(F.bit_or(tag(F.col("value"), numbers, words)).alias("mask"), F.count(F.lit(1)).alias("n"))
+    found = {row["column"]: (row["mask"] or 0, row["n"]) for row in seen.collect()}
+    return {c: found.get(k, (0, 0)) for k, c in enumerate(texts)}
 
 
 def kind_of_mask(mask: int) -> str:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import filter_audit
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -75,6 +77,12 @@ def op10_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import audit_documents
+
+    return audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -86,7 +94,8 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_packing": op9_packing,
     "op10_vector_near_dedup": op10_vector_near_dedup,
+    "op11_filter_audit": op11_filter_audit,
 }
 
-#: No operator here is plain SQL; each is tested against a brute-force version instead.
-ORACLE_SQL: dict[str, str] = {}
+#: The other operators are not plain SQL; they are tested against brute-force versions, round trips or held-out rows.
+ORACLE_SQL: dict[str, str] = {"op11_filter_audit": filter_audit.ORACLE_SQL}

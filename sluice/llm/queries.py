@@ -83,6 +83,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import digest, remove_repeats
+
+    return digest(remove_repeats(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -95,6 +101,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_vector_near_dedup": op10_vector_near_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op13_repeated_passages": op13_repeated_passages,
 }
 
 #: The other operators are not plain SQL; they are tested against brute-force versions, round trips or held-out rows.

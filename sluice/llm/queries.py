@@ -83,6 +83,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic import digest, find, periodic_tail
+
+    return digest(find(_table(spark, sf_dir, "documents"), words=periodic_tail))
+
+
 def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substrings import digest, remove_repeats
 
@@ -101,6 +107,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_vector_near_dedup": op10_vector_near_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_repeated_passages": op13_repeated_passages,
 }
 

@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 LOGICAL = "logical"
+#: White space of all scripts, for the inside of a pattern's brackets; fixed values.
+WHITE_SPACE = "\t\n\x0b\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 #: Names that users write for types; fixed values.
 TYPE_NAMES = {

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import casting, naming
-from ..functions.types import Column, column_of, columns_of, merge_kinds, parse_type
+from ..functions.types import WHITE_SPACE, Column, column_of, columns_of, merge_kinds, parse_type
 
 
 def _by_lower(df: DataFrame) -> dict[str, str]:
@@ -54,10 +54,14 @@ def normalise_names(df: DataFrame, style: str = "snake_case", limit: int = 0) ->
     return rename(df, naming.mapping(df.columns, style, limit))
 
 
+def trimmed(text: C) -> C:
+    return F.regexp_replace(F.regexp_replace(text, rf"\A[{WHITE_SPACE}]+", ""), rf"[{WHITE_SPACE}]+\z", "")
+
+
 def trim_strings(df: DataFrame) -> DataFrame:
-    """White space of any kind taken from both ends of every text column."""
+    """White space of any script taken from both ends of every text column."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: F.regexp_replace(F.regexp_replace(F.col(c), r"^\s+", ""), r"\s+$", "") for c in texts})
+    return df.withColumns({c: trimmed(F.col(f"`{c}`")) for c in texts})
 
 
 def exclude(df: DataFrame, names: list[str]) -> DataFrame:

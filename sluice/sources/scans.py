@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column as C
 from pyspark.sql import DataFrame, SparkSession
@@ -12,44 +11,17 @@ from pyspark.sql import types as T
 
 from ..functions import casting
 from ..functions.types import Column
-from ..operators import infer
+from ..operators import infer, transforms
 from ..operators.transforms import align
+from . import csv_files
 
 #: Words that mean null in CSV files fetched over HTTP; fixed values.
 NULL_WORDS = ("nan", "na", "n/a", "null", "none")
 
 
-def _header(spark: SparkSession, path, options: dict) -> list[str]:
-    """Names as the header has them, repeats included."""
-    read = spark.read.options(header=False, inferSchema=False, maxColumns=20000, **options)
-    first = read.csv(path).first()
-    return [] if first is None else [(x or "").strip() for x in first]
-
-
-def csv_text(spark: SparkSession, path, header: bool = True, names: list[str] | None = None, encoding: str = "UTF-8", **options) -> DataFrame:
-    """All values as text: blank is null, all-blank rows are skipped, of repeated headers the last non-empty wins.
-
-    Short rows are filled with nulls; gzip is read by its suffix.
-    """
-    options = {"encoding": encoding, **options}
-    if header:
-        found = [n.lstrip("﻿") for n in _header(spark, path, options)]
-    else:
-        found = names or []
-    if not found and not header:
-        first = _header(spark, path, options)
-        found = [f"column_{k}" for k in range(len(first))]
-    schema = T.StructType([T.StructField(f"_{k}", T.StringType()) for k in range(len(found))])
-    raw = spark.read.options(header=header, mode="PERMISSIVE", enforceSchema=True, **options).schema(schema).csv(path)
-    value = lambda k: F.when(F.trim(f"_{k}") != "", F.col(f"_{k}"))
-    places: dict[str, list[int]] = {}
-    for k, name in enumerate(found):
-        places.setdefault(name or f"column_{k}", []).append(k)
-    rows = raw.select(*(F.coalesce(*(value(k) for k in reversed(at))).alias(name) for name, at in places.items()))
-    if not places:
-        return rows
-    some = reduce(lambda a, b: a | b, (F.col(f"`{n}`").isNotNull() for n in places))
-    return rows.filter(some)
+def csv_text(spark: SparkSession, path, header: bool = True, names: list[str] | None = None, encoding: str | None = None, sep: str = ",") -> DataFrame:
+    """All values as text, by the header of each file (``csv_files``): blank is null, all-blank rows are skipped."""
+    return csv_files.read(spark, path, header, names, sep, encoding)
 
 
 def csv_typed(spark: SparkSession, path, header: bool = True, names: list[str] | None = None, null_words: bool = False, **options) -> DataFrame:
@@ -58,7 +30,7 @@ def csv_typed(spark: SparkSession, path, header: bool = True, names: list[str] |
     ``null_words``: the words for null of files fetched over HTTP count as null.
     """
     df = csv_text(spark, path, header, names, **options)
-    trimmed = {c: F.trim(F.col(f"`{c}`")) for c in df.columns}
+    trimmed = {c: transforms.trimmed(F.col(f"`{c}`")) for c in df.columns}
     if null_words:
         trimmed = {c: F.when(~F.lower(v).isin(*NULL_WORDS), v) for c, v in trimmed.items()}
     return infer.apply_inferred(df.withColumns(trimmed), keep=set(df.columns))

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from ..operators import evolve
 
+#: Quotes are doubled, and values are written as they are; other formats ignore these.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 MODES = {"replace": "overwrite", "append": "append"}
 
 
@@ -27,8 +29,8 @@ def parquet(df: DataFrame, path: str, strategy: str = "replace", partition_by: l
 
 
 def csv(df: DataFrame, path: str, strategy: str = "replace") -> None:
-    """Header and rows; nested columns must have become text."""
-    df.write.mode(_mode(strategy)).option("header", True).csv(path)
+    """Header and rows; nested columns must have become text. A null is an empty value, an empty text a quoted one."""
+    df.write.mode(_mode(strategy)).options(**CSV).csv(path)
 
 
 def jsonl(df: DataFrame, path: str, strategy: str = "replace") -> None:
@@ -39,7 +41,7 @@ def object_store(df: DataFrame, base: str, table: str, load_id: str | None = Non
     """Files below ``base/table/load_id=.../`` with at most that many rows each; returns the load id."""
     load_id = load_id or uuid.uuid4().hex
     out = f"{base}/{table}/load_id={load_id}"
-    df.write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file).option("header", True).format(format).save(out)
+    df.write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file).options(**CSV).format(format).save(out)
     return load_id
 
 

@@ -62,8 +62,9 @@ def epoch_to_timestamp(c: C) -> C:
     """Numbers to timestamps; the unit follows from the magnitude: s, ms, µs or ns since 1970."""
     n = c.cast("long")
     size = F.abs(n)
+    whole = F.call_function("div", n - F.pmod(n, F.lit(1000)), F.lit(1000))  # integers only: a double has no room for nanoseconds
     micros = (
-        F.when(size > 10**18, F.floor(n / 1000).cast("long")).when(size > 10**15, n).when(size > 10**12, n * 1000).otherwise(n * 1_000_000)
+        F.when(size > 10**18, whole).when(size > 10**15, n).when(size > 10**12, n * 1000).otherwise(n * 1_000_000)
     )
     return F.timestamp_micros(micros)
 

@@ -132,7 +132,8 @@ def random_like(c: C, param=None, kind=None) -> C:
     if isinstance(kind, T.FractionalType):
         number = v.try_cast("double")
         return F.rand() * 2 * F.when(number == 0, 1.0).otherwise(F.abs(number))
-    return F.when(F.length(v) == 0, F.lit("")).otherwise(F.randstr(256).substr(F.lit(1), F.length(v)))
+    lots = F.transform(F.sequence(F.lit(1), F.ceil(F.length(v) / 256)), lambda _: F.randstr(256))
+    return F.when(F.length(v) == 0, F.lit("")).otherwise(F.array_join(lots, "").substr(F.lit(1), F.length(v)))
 
 
 def date_shift(c: C, param=None, kind=None) -> C:

@@ -8,7 +8,7 @@ from pyspark.sql import Column as C
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans import workspace
+from . import scan
 
 LSN, DELETED, SYNCED, UNCHANGED = "_cdc_lsn", "_cdc_deleted", "_cdc_synced_at", "_cdc_unchanged_cols"
 
@@ -108,67 +108,89 @@ def expand_updates(feed: DataFrame, keys: list[str], data: list[str]) -> DataFra
     return feed.select(*others, F.explode(rows).alias("_r")).select(*others, "_r.*")
 
 
-def fill_unchanged(feed: DataFrame, keys: list[str], data: list[str], order: str = "seq", unchanged: str = "unchanged") -> DataFrame:
+def fill_unchanged(
+    feed: DataFrame, keys: list[str], data: list[str], order: str = "seq", unchanged: str = "unchanged", before: str | None = None,
+) -> DataFrame:
     """Columns named in the ``unchanged`` list take the key's last known value.
 
-    A known null is a value and carries on; a delete resets what is known.
+    A known null is a value and carries on; a delete resets what is known. With
+    the ``before`` image (a struct) its value, where it has one, comes first. A
+    column that got a value leaves the list. A key's rows are scanned in lots
+    (``scan.last_known``), so one key may have any share of the feed.
     """
-    w = Window.partitionBy(*keys).orderBy(order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    df = feed.withColumn("_segment", F.coalesce(F.sum((F.col("op") == "DELETE").cast("int")).over(before), F.lit(0)))
-    known = Window.partitionBy(*keys, "_segment").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    is_unchanged = lambda c: F.coalesce(F.array_contains(F.col(unchanged), c), F.lit(False))
-    filled = {
-        c: F.last(F.when(~is_unchanged(c) & (F.col("op") != "DELETE"), F.struct(F.col(c).alias("v"))), ignorenulls=True).over(known)
+    is_delete = F.col("op") == "DELETE"
+    listed = lambda c: F.coalesce(F.array_contains(F.col(unchanged), c), F.lit(False)) & ~is_delete
+    images = feed.schema[before].dataType.fieldNames() if before else []
+    old = lambda c: F.col(f"`{before}`.`{c}`") if c in images else F.lit(None)
+    value = {
+        c: F.when(~listed(c) & ~is_delete, F.struct(F.col(f"`{c}`").alias("v"))).when(listed(c) & old(c).isNotNull(), F.struct(old(c).alias("v")))
         for c in data
     }
-    df = df.withColumns({f"_f_{c}": v for c, v in filled.items()})
-    open_ = lambda c: is_unchanged(c) & F.col(f"_f_{c}").isNull() & (F.col("op") != "DELETE")
-    rest = F.filter(F.array(*(F.when(open_(c), F.lit(c)) for c in data)), lambda x: x.isNotNull())
+    names = {c: f"_known_{i}" for i, c in enumerate(data)}
+    df = scan.last_known(feed, keys, [order], {names[c]: v for c, v in value.items()}, is_delete)
+    known = lambda c: F.col(names[c])
+    rest = F.filter(F.array(*(F.when(listed(c) & known(c).isNull(), F.lit(c)) for c in data)), lambda x: x.isNotNull())
     columns = [
-        F.when(is_unchanged(c) & (F.col("op") != "DELETE") & F.col(f"_f_{c}").isNotNull(), F.col(f"_f_{c}.v")).otherwise(F.col(c)).alias(c) if c in data
-        else rest.alias(unchanged) if c == unchanged else F.col(c)
+        F.when(listed(c) & known(c).isNotNull(), known(c)["v"]).otherwise(F.col(f"`{c}`")).alias(c) if c in data
+        else rest.alias(unchanged) if c == unchanged else F.col(f"`{c}`")
         for c in feed.columns
     ]
     return df.select(*columns)
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back, so that rounds do not repeat one another."""
-    path = workspace.path(df.sparkSession, "moves")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def row_identity(feed: DataFrame, key: str, old_key: str, order: str = "seq", op: str | None = None, life: str | None = None) -> DataFrame:
+    """``feed`` with ``row_id``: the key under which each row's row was first met in the feed.
 
+    A change whose ``old_key`` is another one moves the row. Who is at a key when
+    a row comes is what the last event there says, in order of ``order`` (one move
+    to a key at one place of the order): a move to it (that row, followed back move
+    by move), a move away from it or, by the column ``op``, an INSERT or DELETE (a
+    row of its own). So a key that is used again is another row, and moves in a
+    circle end where they began. Rows of that key then share a ``row_id``; the
+    column named ``life`` tells them apart: the place of the event before which
+    there was another row, or null.
 
-def row_identity(feed: DataFrame, key: str, old_key: str, order: str = "seq") -> DataFrame:
-    """``feed`` with ``row_id``: the first key of a row's chain of key moves in the window.
-
-    Moves are few against the feed, and only they are followed. Each round doubles how far every
-    key has been followed, until none goes further, so rounds grow with the logarithm of the chain.
-    Keys whose moves form a cycle have no first key; all take the smallest key of the cycle, and so
-    do the keys that were moved from it.
+    The search for the last event is a scan in lots, and moves are followed by
+    doubling: rounds grow with the logarithm of the longest chain.
     """
-    moves = feed.filter(F.col(old_key).isNotNull() & ~F.col(old_key).eqNullSafe(F.col(key))).groupBy(F.col(key).alias("_to")).agg(
-        F.min_by(old_key, order).alias("_from")
+    kind, moved = feed.schema[order].dataType.simpleString(), F.col(old_key).isNotNull() & ~F.col(old_key).eqNullSafe(F.col(key))
+    none = f"cast(null as struct<at: {kind}, comes: boolean>)"
+
+    def event(at: str, rank: int, comes: bool) -> C:
+        return F.struct(F.col(at).alias("_at_key"), F.lit(rank).alias("_rank"), F.struct(F.col(order).alias("at"), F.lit(comes).alias("comes")).alias("_event"))
+
+    own = F.struct(F.when(moved, F.col(old_key)).otherwise(F.col(key)).alias("_at_key"), F.lit(1).alias("_rank"), F.expr(none).alias("_event"))
+    others = [F.when(moved, event(key, 2, True)), F.when(moved, event(old_key, 2, False))]
+    if op:
+        others += [F.when((F.col(op) == "INSERT") & ~moved, event(key, 0, False)), F.when(F.col(op) == "DELETE", event(key, 2, False))]
+    rows = feed.withColumn("_e", F.explode(F.filter(F.array(own, *others), lambda e: e.isNotNull())))
+    is_row = F.col("_e._rank") == 1
+    rows = rows.select(
+        *(F.when(is_row, F.col(f"`{c}`")).alias(c) for c in feed.columns), F.col(order).alias("_order"), "_e.*", (moved & is_row).alias("_moved")
+    )
+    last = scan.last_known(rows, ["_at_key"], ["_order", "_rank"], {"_last": F.col("_event")})
+    last = scan.written(last.filter("_rank = 1").drop("_event", "_rank"), "identity")
+    followed = F.coalesce(F.col("_last.comes"), F.lit(False))
+    moves = last.filter("_moved").select(
+        F.col("_order").alias("_n_at"), F.col(key).alias("_n_key"),
+        F.when(followed, F.col("_last.at")).alias("_p_at"), F.when(followed, F.col("_at_key")).alias("_p_key"),
+        F.col("_at_key").alias("_o_key"), F.when(~followed, F.col("_last.at")).alias("_o_life"),
     )
-    # _least is the smallest of the keys from _from's side of _to up to _from.
-    table = _written(moves.withColumn("_least", F.col("_from")))
-    reach, limit = 1, table.count()
-    while True:
-        up = table.select(F.col("_to").alias("_from"), F.col("_from").alias("_up"), F.col("_least").alias("_up_least"))
-        joined = table.join(up, "_from", "left")
-        table = _written(joined.select(
-            "_to", F.coalesce("_up", "_from").alias("_from"), F.least("_least", "_up_least").alias("_least"), F.col("_up").isNotNull().alias("_moved")
-        ))
-        reach *= 2
-        going = table.filter("_moved")
-        if going.isEmpty() or reach > limit:
-            break  # beyond as many steps as there are moves, only cycles go on
-        table = table.drop("_moved")
-    # A key that still goes on leads into a cycle: where it stands is on it, and from there all of it has been seen.
-    on = table.filter("_moved").select(F.col("_to").alias("_from"), F.col("_least").alias("_cycle"))
-    table = table.join(on, "_from", "left").select("_to", F.coalesce("_cycle", "_from").alias("_from"))
-    return feed.join(table.withColumnRenamed("_to", key), key, "left").withColumn("row_id", F.coalesce("_from", key)).drop("_from")
+    moves = scan.written(moves, "moves")
+    while not moves.filter("_p_at is not null").isEmpty():
+        up = moves.select(*(F.col(c).alias("_up" + c) for c in moves.columns))
+        joined = moves.join(up, (F.col("_p_at") == F.col("_up_n_at")) & F.col("_p_key").eqNullSafe(F.col("_up_n_key")), "left")
+        above = F.col("_up_n_at").isNotNull()
+        moves = scan.written(joined.select(
+            "_n_at", "_n_key", F.col("_up_p_at").alias("_p_at"), F.col("_up_p_key").alias("_p_key"),
+            F.when(above, F.col("_up_o_key")).otherwise(F.col("_o_key")).alias("_o_key"), F.when(above, F.col("_up_o_life")).otherwise(F.col("_o_life")).alias("_o_life"),
+        ), "moves")
+    roots = moves.select("_n_at", "_n_key", "_o_key", "_o_life")
+    found = last.join(roots, followed & (F.col("_last.at") == F.col("_n_at")) & F.col("_at_key").eqNullSafe(F.col("_n_key")), "left")
+    out = [F.when(followed, F.col("_o_key")).otherwise(F.col("_at_key")).alias("row_id")]
+    if life:
+        out.append(F.when(followed, F.col("_o_life")).otherwise(F.col("_last.at")).alias(life))
+    return found.select(*(F.col(f"`{c}`") for c in feed.columns), *out)
 
 
 def compact(feed: DataFrame, keys: list[str], order: str = "seq", deleted: C | None = None) -> DataFrame:

@@ -8,8 +8,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _orderable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _ranked(df: DataFrame) -> list[C]:
+    """Every column, by its JSON where it has no order of its own (maps, and what contains one)."""
+    return [F.col(f"`{f.name}`") if _has_order(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`"))) for f in df.schema.fields]
 
 
 def latest(df: DataFrame, keys: list[str], order: list[C] | str | None = None) -> DataFrame:
@@ -19,7 +28,7 @@ def latest(df: DataFrame, keys: list[str], order: list[C] | str | None = None) -
     task. Null keys are a key of their own.
     """
     first = [F.col(order)] if isinstance(order, str) else list(order or [])
-    rank = F.struct(*(c.alias(f"_o{k}") for k, c in enumerate(first)), *(F.col(c) for c in _orderable(df)))
+    rank = F.struct(*(c.alias(f"_o{k}") for k, c in enumerate(first)), *(c.alias(f"_r{k}") for k, c in enumerate(_ranked(df))))
     row = F.struct(*(F.col(c) for c in df.columns))
     picked = df.groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))).agg(F.max_by(row, rank).alias("_row"))
     # Keys come from the grouping, which a join on them recognises: no second shuffle.

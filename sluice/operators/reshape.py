@@ -61,10 +61,12 @@ def merge_maps(df: DataFrame, dimensions: str, metrics: str, fields: list[str],
 
 
 def unwrap_edges(c: C, kind: T.DataType) -> tuple[C, T.DataType]:
-    """``{edges: [{node: x}]}`` to ``[x]`` at every depth, and the resulting type."""
+    """``{edges: [{node: x}]}`` to ``[x]`` at every depth, and the resulting type.
+
+    What a connection or an edge has besides (page information, cursors) goes. Where the edges themselves are null it is null.
+    """
     if isinstance(kind, T.StructType):
-        names = kind.fieldNames()
-        if names == ["edges"] and isinstance(kind["edges"].dataType, T.ArrayType):
+        if "edges" in kind.fieldNames() and isinstance(kind["edges"].dataType, T.ArrayType):
             edge = kind["edges"].dataType.elementType
             if isinstance(edge, T.StructType) and "node" in edge.fieldNames():
                 inner = edge["node"].dataType

@@ -149,14 +149,6 @@ def test_resolution_and_validation():
         strategies.check_support("file", "merge")
 
 
-def test_row_identity_follows_long_chains_and_cycles(spark):
-    rows = [(k, k - 1, k) for k in range(1, 51)] + [(0, None, 0)]
-    rows += [(101, 100, 201), (102, 101, 202), (100, 102, 203), (110, 101, 204), (300, None, 300)]
-    out = changes.row_identity(spark.createDataFrame(rows, "id long, old_id long, seq long"), "id", "old_id")
-    got = {r.id: r.row_id for r in out.collect()}
-    assert got == {**{k: 0 for k in range(51)}, **{k: 100 for k in (100, 101, 102, 110)}, 300: 300}
-
-
 def test_rewrite_touches_only_its_partitions(spark):
     spark.sql("DROP TABLE IF EXISTS t_parts")
     rows = [(1, "a", "007"), (2, "b", "x y/z=%1'q"), (3, "c", None), (4, "d", "9")]

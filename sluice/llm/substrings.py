@@ -18,7 +18,10 @@ The anchors only say which documents go through which automaton: every link is a
 match of words. Owners with many recurring anchors are several automata, and
 passages for a much-copied owner are dealt over several tasks, each of which
 builds the owner's automaton, so neither memory nor time of a task grows with
-the number of copies. Texts are shuffled once (both joins use one exchange).
+the number of copies. An anchor that many texts of one batch have is dealt over
+``SALTS`` groups, each with an owner of its own: the first document of a batch
+is in all of them, so every other one meets a smaller owner. Texts and anchors
+are shuffled once (what joins them uses one exchange).
 
 Defined cases: a null text has no words; a document without ``WINDOW`` words
 loses none; rows with a null id are returned as they are and make nothing
@@ -44,12 +47,15 @@ from pyspark.sql.types import LongType
 WINDOW, GRAM = 13, 6
 #: Recurring keys (anchors or windows) of an owner in one automaton; keys of other documents streamed through it by one task.
 PATTERNS, STREAM = 25_000, 100_000
+#: An anchor of more documents of one batch than this is dealt over so many groups.
+HOT, SALTS = 256, 64
 #: Words of which a worker remembers the hash.
 REMEMBERED = 1_000_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 _ROUTED = "owner long, shard long, lot int, is_stream boolean, doc_id long, tag long, at long, words binary"
+_REST = "key binary, doc_id long, tag long, at long"
 _FOUND = "doc_id long, tag long, is_cover boolean, first long, last long, words binary"
 
 
@@ -85,69 +91,85 @@ def window_anchors(words: list[bytes], hashes: dict) -> np.ndarray:
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """``(anchor, doc_id)``: the distinct anchors of every text."""
+    """``(anchor, salt, doc_id, spare)``: the distinct anchors of every text.
+
+    ``salt`` is 0 but for anchors that many documents of a batch have. Of these
+    the smallest document stays in group 0 and stands in all other groups as a
+    ``spare``: it may own them, and is not looked for in them.
+    """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for b in it:
-            ids, sizes, found = b.column(0).to_numpy(), [], []
-            for text in b.column(1):
-                own = np.unique(window_anchors((text.as_py() or b"").split(), hashes))
-                sizes.append(len(own))
-                found.append(own)
-            flat = np.concatenate(found) if found else np.empty(0, np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat.view(np.int64)), pa.array(np.repeat(ids, sizes))], ["anchor", "doc_id"]
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long")
-
-
-def _with_lots(keys: DataFrame, name: str) -> DataFrame:
-    """Recurring ``keys(name, owner, n)`` with the automaton (``shard``) of each and the tasks (``lots``) it is dealt to."""
+            found = [np.unique(window_anchors((text.as_py() or b"").split(), hashes)) for text in b.column(1)]
+            ids = np.repeat(b.column(0).to_numpy(), [len(own) for own in found])
+            flat = np.concatenate([np.empty(0, np.uint64), *found])
+            salt, spare = np.zeros(len(flat), np.int32), np.zeros(len(flat), bool)
+            values, place, count = np.unique(flat, return_inverse=True, return_counts=True)
+            if (count > HOT).any():
+                least = np.full(len(values), np.iinfo(np.int64).max)
+                np.minimum.at(least, place, ids)
+                hot = count[place] > HOT
+                moved = hot & (ids != least[place])
+                salt[moved] = 1 + ((ids[moved].astype(np.uint64) * _FACTOR) >> np.uint64(40)) % np.uint64(SALTS)
+                often = np.flatnonzero(count > HOT)
+                flat = np.concatenate([flat, np.repeat(values[often], SALTS)])
+                ids = np.concatenate([ids, np.repeat(least[often], SALTS)])
+                salt = np.concatenate([salt, np.tile(np.arange(1, SALTS + 1, dtype=np.int32), len(often))])
+                spare = np.concatenate([spare, np.ones(SALTS * len(often), bool)])
+            columns = [pa.array(flat.view(np.int64)), pa.array(salt), pa.array(ids), pa.array(spare)]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "salt", "doc_id", "spare"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "anchor long, salt int, doc_id long, spare boolean")
+
+
+def _with_lots(keys: DataFrame, names: list[str]) -> DataFrame:
+    """Recurring ``keys(*names, owner, n)`` with the automaton (``shard``) of each and the tasks (``lots``) it is dealt to."""
     weight = keys.groupBy("owner").agg(
         F.ceil(F.count("*") / PATTERNS).cast("long").alias("shards"), F.sum("n").alias("total")
     ).filter(f"shards > 1 or total > {STREAM}")
     lots = F.ceil(F.col("total") / (F.col("shards") * STREAM)).cast("int")
     return keys.join(weight, "owner", "left").select(
-        name, "owner",
-        F.coalesce(F.pmod(F.xxhash64(name), F.col("shards")), F.lit(0).cast("long")).alias("shard"),
+        *names, "owner",
+        F.coalesce(F.pmod(F.xxhash64(names[0]), F.col("shards")), F.lit(0).cast("long")).alias("shard"),
         F.coalesce(F.greatest(lots, F.lit(1)), F.lit(1)).alias("lots"),
     )
 
 
+def _chains(doc_id: int, tag: int, words: list[bytes], start: int, at: np.ndarray, owner: np.ndarray, shard: np.ndarray, lots: np.ndarray) -> Iterator[tuple]:
+    """Rows of ``_ROUTED`` for the windows ``at`` (ascending, none twice) of a text; ``words`` begins at word ``start``."""
+    breaks = np.flatnonzero((np.diff(at) > 1) | (np.diff(owner) != 0) | (np.diff(shard) != 0) | (np.diff(lots) != 0)) + 1
+    for s, e in zip([0, *breaks.tolist()], [*breaks.tolist(), len(at)]):
+        first, last, o, n = int(at[s]), int(at[e - 1]), int(owner[s]), int(lots[s])
+        passage = b" ".join(words[first - start : last - start + WINDOW])
+        for lot in range(n) if o == doc_id else (tag % n,):
+            yield o, int(shard[s]), lot, o != doc_id, doc_id, tag, first, passage
+
+
 def _passages(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches of windows whose anchors have one owner and shard, with their words."""
     hashes = _WordHashes()
     for b in it:
         rows: list[tuple] = []
-        size = 0
         for doc_id, tag, text, keys in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
             keys = keys.values
             anchor = keys.field(0).to_numpy().view(np.uint64)
-            order = np.argsort(anchor)
-            anchor = anchor[order]
-            owner, shard, lots = (keys.field(k).to_numpy()[order] for k in (1, 2, 3))
+            route = [keys.field(k).to_numpy() for k in (1, 2, 3)]
             words = (text.as_py() or b"").split()
             own = window_anchors(words, hashes)
-            at = np.searchsorted(anchor, own)
-            at[at == len(anchor)] = 0
-            windows = np.flatnonzero(anchor[at] == own)
-            if not len(windows):
-                continue
-            at = at[windows]
-            breaks = np.flatnonzero((np.diff(windows) > 1) | (np.diff(owner[at]) != 0) | (np.diff(shard[at]) != 0)) + 1
-            starts, ends = [0, *breaks.tolist()], [*breaks.tolist(), len(windows)]
-            for s, e in zip(starts, ends):
-                key, first, last = at[s], int(windows[s]), int(windows[e - 1])
-                passage = b" ".join(words[first : last + WINDOW])
-                o, n = int(owner[key]), int(lots[key])
-                for lot in range(n) if o == doc_id else (tag % n,):
-                    rows.append((o, int(shard[key]), lot, o != doc_id, doc_id, tag, first, passage))
-                    size += len(passage)
-            if size > 8_000_000:
+            # What others look for in this text, and what it looks for in others.
+            for part in (np.flatnonzero(route[0] == doc_id), np.flatnonzero(route[0] != doc_id)):
+                known, first = np.unique(anchor[part], return_index=True)
+                if not len(known) or not len(own):
+                    continue
+                place = np.searchsorted(known, own)
+                place[place == len(known)] = 0
+                at = np.flatnonzero(known[place] == own)
+                if len(at):
+                    rows.extend(_chains(doc_id, tag, words, 0, at, *(r[part[first[place[at]]]] for r in route)))
+            if sum(len(r[-1]) for r in rows[-100:]) > 1_000_000 or len(rows) > 50_000:
                 yield _batch(rows, _ROUTED)
-                rows, size = [], 0
+                rows = []
         yield _batch(rows, _ROUTED)
 
 
@@ -227,16 +249,31 @@ def _covers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unmatched(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows without a match, one a row."""
+    """Digests of the windows without a match, one a row."""
     for b in it:
         b = b.filter(pc.invert(b.column("is_cover")))
         rows: list[tuple] = []
         for doc_id, tag, first, passage in zip(*(b.column(c).to_pylist() for c in ("doc_id", "tag", "first", "words"))):
             words = passage.split()
             for i in range(len(words) - WINDOW + 1):
-                window = b" ".join(words[i : i + WINDOW])
-                rows.append((xxhash.xxh3_128_digest(window), doc_id, tag, first + i, window))
-        yield _batch(rows, "key binary, doc_id long, tag long, at long, words binary")
+                rows.append((xxhash.xxh3_128_digest(b" ".join(words[i : i + WINDOW])), doc_id, tag, first + i))
+        yield _batch(rows, _REST)
+
+
+def _again(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the windows without a match those that recur, as passages by the first document that has them."""
+    for b in it:
+        rows: list[tuple] = []
+        for doc_id, tag, is_cover, start, end, passage, keys in zip(*(b.column(k).to_pylist() for k in range(6)), b.column(6)):
+            if is_cover or not keys.is_valid:
+                continue
+            keys = keys.values
+            at = keys.field(1).to_numpy()
+            inside = np.flatnonzero((keys.field(0).to_numpy() == tag) & (at >= start) & (at + WINDOW <= end))
+            if len(inside):
+                at, first = np.unique(at[inside], return_index=True)
+                rows.extend(_chains(doc_id, tag, passage.split(), start, at, *(keys.field(k).to_numpy()[inside[first]] for k in (2, 3, 4))))
+        yield _batch(rows, _ROUTED)
 
 
 def _kept(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,27 +301,26 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     doc_id = F.col("doc_id") if docs.schema["doc_id"].dataType == LongType() else F.col("doc_id").cast("long").alias("doc_id")
     whole = docs.select(doc_id, F.col("text").cast("binary").alias("text"))
     named = whole.filter("doc_id is not null")
-    each = anchors(named)
-    shared = each.groupBy("anchor").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")).filter("n > 1")
+    each = anchors(named).repartition("anchor", "salt")
+    shared = each.groupBy("anchor", "salt").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")).filter("n > 1")
     keys = (
-        each.join(_with_lots(shared, "anchor"), "anchor")
+        each.join(_with_lots(shared, ["anchor", "salt"]), ["anchor", "salt"])
+        .filter("not spare or owner = doc_id")
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("anchor", "owner", "shard", "lots")).alias("keys"))
     )
     # Both joins with the texts use this exchange.
     texts = named.select("doc_id", F.xxhash64("text").alias("tag"), "text").repartition("doc_id")
     routed = texts.join(keys, "doc_id").select("doc_id", "tag", "text", "keys").mapInArrow(_passages, _ROUTED)
-    # What the automata say is dealt by document once, and read for the matches and for the rest.
+    # What the automata say is dealt by document once, and read for the matches and for the rest. (A left join below,
+    # as an inner one would filter before the exchange, which then would not be the same.)
     found = locate(routed).repartition("doc_id")
     covers = found.mapInArrow(_covers, "doc_id long, tag long, first long, last long")
-    rest = found.mapInArrow(_unmatched, "key binary, doc_id long, tag long, at long, words binary")
+    rest = found.mapInArrow(_unmatched, _REST)
     again = rest.groupBy("key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other"), F.count("*").alias("n"))
-    again = _with_lots(again.filter("owner < other"), "key")
-    is_stream = F.col("owner") != F.col("doc_id")
-    lot = F.when(is_stream, F.array(F.pmod(F.col("tag"), F.col("lots")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("lots") - 1))
-    second = rest.join(again, "key").select(
-        "owner", "shard", F.explode(lot).alias("lot"), is_stream.alias("is_stream"), "doc_id", "tag", "at", "words"
-    )
+    again = _with_lots(again.filter("owner < other"), ["key"])
+    again = rest.join(again, "key").groupBy("doc_id").agg(F.collect_list(F.struct("tag", "at", "owner", "shard", "lots")).alias("keys"))
+    second = found.join(again, "doc_id", "left").select(*found.columns, "keys").mapInArrow(_again, _ROUTED)
     covers = covers.unionByName(locate(second).mapInArrow(_covers, "doc_id long, tag long, first long, last long"))
     covers = covers.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "first", "last")).alias("covers"))
     judged = texts.join(covers, "doc_id", "left").select("doc_id", "tag", "text", "covers")

@@ -50,6 +50,9 @@ def test_edited_copies_and_hot_passages(spark, monkeypatch, patterns, stream):
     """Copies of edited copies, a passage in a third of all texts, a hot phrase shorter than a window."""
     monkeypatch.setattr(substrings, "PATTERNS", patterns)
     monkeypatch.setattr(substrings, "STREAM", stream)
+    if stream < 100:
+        monkeypatch.setattr(substrings, "HOT", 2)
+        monkeypatch.setattr(substrings, "SALTS", 3)
     draw = random.Random(7)
     word = lambda: f"w{draw.randrange(400)}"
     passage, phrase = [word() for _ in range(40)], [f"p{k}" for k in range(8)]

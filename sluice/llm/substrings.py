@@ -301,8 +301,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     doc_id = F.col("doc_id") if docs.schema["doc_id"].dataType == LongType() else F.col("doc_id").cast("long").alias("doc_id")
     whole = docs.select(doc_id, F.col("text").cast("binary").alias("text"))
     named = whole.filter("doc_id is not null")
-    each = anchors(named).repartition("anchor", "salt")
-    shared = each.groupBy("anchor", "salt").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")).filter("n > 1")
+    # One exchange as well: all three uses take all columns, and find the filter that their joins would add.
+    each = anchors(named).filter("anchor is not null and salt is not null and doc_id is not null").repartition("anchor", "salt")
+    shared = each.groupBy("anchor", "salt").agg(F.min(F.struct("doc_id", "spare")).alias("first"), F.count("*").alias("n"))
+    shared = shared.filter("n > 1").select("anchor", "salt", F.col("first.doc_id").alias("owner"), "n")
     keys = (
         each.join(_with_lots(shared, ["anchor", "salt"]), ["anchor", "salt"])
         .filter("not spare or owner = doc_id")
@@ -316,9 +318,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     # as an inner one would filter before the exchange, which then would not be the same.)
     found = locate(routed).repartition("doc_id")
     covers = found.mapInArrow(_covers, "doc_id long, tag long, first long, last long")
-    rest = found.mapInArrow(_unmatched, _REST)
+    rest = found.mapInArrow(_unmatched, _REST).filter("key is not null and doc_id is not null")
     again = rest.groupBy("key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other"), F.count("*").alias("n"))
-    again = _with_lots(again.filter("owner < other"), ["key"])
+    again = _with_lots(again.filter("owner < other and n > 1"), ["key"])
     again = rest.join(again, "key").groupBy("doc_id").agg(F.collect_list(F.struct("tag", "at", "owner", "shard", "lots")).alias("keys"))
     second = found.join(again, "doc_id", "left").select(*found.columns, "keys").mapInArrow(_again, _ROUTED)
     covers = covers.unionByName(locate(second).mapInArrow(_covers, "doc_id long, tag long, first long, last long"))

@@ -6,14 +6,14 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import Column as C
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import masking, naming
 from ..functions.types import Column
 from ..operators import evolve, strategies, transforms
-from ..sources import sinks
+from ..sources import lake, sinks
 
 
 @dataclass
@@ -38,6 +38,9 @@ class Load:
     predicate: C | None = None
     partition_by: list[str] = field(default_factory=list)
     full_refresh: bool = False
+    #: A lake table's folder (``sources.lake``), in place of a catalog table, and the column by which its files are clustered.
+    path: str | None = None
+    cluster_by: str | None = None
 
 
 def prepare(df: DataFrame, load: Load, target=None) -> DataFrame:
@@ -69,6 +72,10 @@ def run(df: DataFrame, load: Load, source_strategy: str | None = None) -> None:
     strategies.validate(strategy, load.keys, load.incremental_key, load.start, load.end)
     stamp = load.stamp or datetime.now(timezone.utc)
     load.stamp = stamp
+    if load.path:
+        version = _next_version(df, load, strategy)
+        lake.commit_all(spark, f"{load.path}/journal", [version])
+        return
     if strategy == strategies.REPLACE or not sinks.exists(spark, load.table):
         rows = prepare(df, load)
         if strategy == strategies.SCD2:
@@ -106,24 +113,60 @@ def _kinds(schema: T.StructType) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in schema.fields}
 
 
-def table_name(schema: str, source: str) -> str:
-    """The target of one table of many: the schema and the source's own name."""
-    return f"{schema}.{source.rpartition('.')[2]}"
+def lake_table(spark: SparkSession, load: Load) -> lake.Lake:
+    key = load.cluster_by or (load.keys[0] if load.keys else load.incremental_key)
+    if not load.path or not key:
+        raise ValueError("a lake table needs a path, and a key by which its files are clustered")
+    return lake.Lake(spark, load.path, key)
 
 
-def run_many(feed: DataFrame, loads: dict[str, Load], column: str = "table") -> dict[str, str]:
+def _next_version(df: DataFrame, load: Load, strategy: str) -> lake.Prepared:
+    """The next version of a lake table by any of the strategies; nothing is visible yet."""
+    spark = df.sparkSession
+    t = lake_table(spark, load)
+    lake.recover(spark, f"{load.path}/journal")
+    known = t.schema() if t.version() and strategy != strategies.REPLACE else None
+    history = {n for n, _ in strategies.SCD}
+    rows = prepare(df, load, known and T.StructType([f for f in known if f.name not in history]))
+    if strategy == strategies.REPLACE:
+        return lake.replace(t, rows, load.keys, load.incremental_key)
+    if strategy == strategies.APPEND:
+        return lake.append(t, rows)
+    if strategy == strategies.DELETE_INSERT:
+        if t.key != load.incremental_key:
+            raise ValueError(f"delete+insert needs files by {load.incremental_key}")
+        return lake.delete_insert(t, rows, load.start, load.end, load.keys)
+    if strategy == strategies.SCD2:
+        return lake.scd2(t, rows, load.keys, load.stamp, load.incremental_key)
+    if load.predicate is not None:
+        return lake.merge(t, rows, load.keys, load.incremental_key,
+                          apply=lambda old, new: strategies.merge_where(old, new, load.keys, load.predicate, load.incremental_key))
+    return lake.merge(t, rows, load.keys, load.incremental_key)
+
+
+def run_many(feed: DataFrame, loads: dict[str, Load], column: str = "table", journal: str | None = None) -> dict[str, str]:
     """Load every known table of a feed that carries many; unknown ones are dropped.
 
-    The feed is kept while the tables are written one by one; each table's swap
-    is atomic, all of them together are not.
+    With a ``journal`` (a folder) all are lake tables and change together, or none
+    does; without one each table changes by itself. Returns each name's table.
     """
+    spark = feed.sparkSession
+    if journal:
+        lake.recover(spark, journal)
     feed = feed.persist()
-    done: dict[str, str] = {}
     try:
+        made = []
         for name, load in loads.items():
             rows = feed.filter(F.col(column) == name).drop(column)
-            run(rows, load)
-            done[name] = load.table
+            if journal:
+                strategy = strategies.resolve(load.strategy, full_refresh=load.full_refresh, keys=load.keys)
+                strategies.validate(strategy, load.keys, load.incremental_key, load.start, load.end)
+                load.stamp = load.stamp or datetime.now(timezone.utc)
+                made.append(_next_version(rows, load, strategy))
+            else:
+                run(rows, load)
+        if journal:
+            lake.commit_all(spark, journal, made)
     finally:
         feed.unpersist()
-    return done
+    return {name: load.path or load.table for name, load in loads.items()}

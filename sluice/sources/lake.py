@@ -40,7 +40,7 @@ class Conflict(RuntimeError):
     """Another load made this version first."""
 
 
-class _Files:
+class SmallFiles:
     """Small files on any file system that Spark knows."""
 
     def __init__(self, spark: SparkSession, path: str):
@@ -73,6 +73,9 @@ class _Files:
             self.fs.delete(self.path(part), False)
             raise Conflict(path)
 
+    def size(self, path: str) -> int:
+        return int(self.fs.getContentSummary(self.path(path)).getLength())
+
     def remove(self, path: str) -> None:
         self.fs.delete(self.path(path), True)
 
@@ -91,7 +94,8 @@ class Lake:
 
     def __init__(self, spark: SparkSession, path: str, key: str):
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
-        self._files = _Files(spark, self.path)
+        self._files = SmallFiles(spark, self.path)
+        self._loads: list[str] = []  # of data that no version has yet
 
     def version(self) -> int:
         """The number of the latest version; 0 if there is none."""
@@ -137,21 +141,24 @@ class Lake:
             return self.spark.createDataFrame([], shape)
         return self.spark.read.schema(shape).parquet(*(f"{self.path}/data/{f}" for f in files))
 
-    def add(self, df: DataFrame, tag: str | DataFrame = "") -> DataFrame:
+    def add(self, df: DataFrame, files: int | None = None) -> DataFrame:
         """Write ``df`` as data files, clustered by the key; returns their part of a manifest.
 
-        A column ``_tag`` of ``df``, if it has one, gives the tag of each row.
+        Current and closed rows of a history go to files of their own. ``files``: how many, if not left to Spark.
         """
         load = uuid.uuid4().hex
-        tagged = "_tag" in df.columns
+        tagged = "_scd_is_current" in df.columns
+        if tagged:
+            df = df.withColumn("_tag", F.when(F.col("_scd_is_current"), CURRENT).otherwise(CLOSED))
         keys = ["_tag", self.key] if tagged else [self.key]
-        write = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write
+        ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+        write = ranged.sortWithinPartitions(*keys).write
         (write.partitionBy("_tag") if tagged else write).parquet(f"{self.path}/data/{load}")
-        plain = df.drop("_tag")
-        shape = T.StructType([*plain.select(self.key).schema.fields, *([T.StructField("_tag", T.StringType())] if tagged else [])])
+        self._loads.append(load)
+        shape = T.StructType([*df.select(self.key).schema.fields, *([T.StructField("_tag", T.StringType())] if tagged else [])])
         name = F.regexp_extract("_metadata.file_path", f"{load}.*$", 0)
         written = self.spark.read.schema(shape).parquet(f"{self.path}/data/{load}")
-        return written.groupBy(F.url_decode(name).alias("file"), (F.col("_tag") if tagged else F.lit(tag)).alias("tag")).agg(
+        return written.groupBy(F.url_decode(name).alias("file"), (F.col("_tag") if tagged else F.lit("")).alias("tag")).agg(
             F.min(self.key).alias("lo"), F.max(self.key).alias("hi"), F.count("*").alias("rows")
         )
 
@@ -185,6 +192,13 @@ class Lake:
         name = uuid.uuid4().hex
         manifest.select("file", "tag", "lo", "hi", "rows").write.parquet(f"{self.path}/manifests/{name}")
         notes = self.content(base)["note"] | (note or {})
+        # Counted in the manifest and the file listing; no row is read again for it.
+        new = F.substring_index("file", "/", 1).isin(self._loads)
+        here = self.spark.read.schema(_manifest(schema[self.key].dataType)).parquet(f"{self.path}/manifests/{name}")
+        counted = here.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in (("rows", F.col("rows")), ("new", F.when(new, F.col("rows")))))).first()
+        size = sum(self._files.size(f"{self.path}/data/{load}") for load in self._loads)
+        notes |= {"load": {"rows": counted["new"], "bytes": size}, "rows": counted["rows"], "bytes": notes.get("bytes", 0) + size}
+        self._loads = []
         return Prepared(self.path, base + 1, {"manifest": name, "schema": schema.jsonValue(), "note": notes})
 
     def commit(self, version: Prepared) -> int:
@@ -197,7 +211,7 @@ def _manifest(kind: T.DataType) -> T.StructType:
 
 
 def _publish(spark: SparkSession, version: Prepared) -> None:
-    files = _Files(spark, version.path)
+    files = SmallFiles(spark, version.path)
     files.fs.mkdirs(files.path(f"{version.path}/versions"))
     files.put(f"{version.path}/versions/{version.number:020d}", json.dumps(version.content))
 
@@ -208,7 +222,7 @@ def commit_all(spark: SparkSession, journal: str, versions: list[Prepared], betw
     Once the journal entry stands, ``recover`` brings about what is missing after
     a failure. (``between`` is called after each table, for tests.)
     """
-    files = _Files(spark, journal)
+    files = SmallFiles(spark, journal)
     files.fs.mkdirs(files.path(journal))
     entry = f"{journal.rstrip('/')}/{uuid.uuid4().hex}.json"
     files.put(entry, json.dumps([[v.path, v.number, v.content] for v in versions]))
@@ -221,11 +235,11 @@ def commit_all(spark: SparkSession, journal: str, versions: list[Prepared], betw
 
 def recover(spark: SparkSession, journal: str) -> int:
     """Finish the entries of a journal whose commit was cut short; returns how many there were."""
-    files = _Files(spark, journal)
+    files = SmallFiles(spark, journal)
     entries = [n for n in files.names(journal) if n.endswith(".json")]
     for name in entries:
         for path, number, content in json.loads(files.read(f"{journal.rstrip('/')}/{name}")):
-            here = _Files(spark, path)
+            here = SmallFiles(spark, path)
             if not here.fs.exists(here.path(f"{path}/versions/{number:020d}")):
                 _publish(spark, Prepared(path, number, content))
         files.remove(f"{journal.rstrip('/')}/{name}")
@@ -242,10 +256,10 @@ def _wider(lake: Lake, base: int, staged: DataFrame) -> T.StructType:
     return T.StructType([*(T.StructField(f.name, f.dataType) for f in old), *(T.StructField(f.name, f.dataType) for f in staged.schema if f.name not in old.fieldNames())])
 
 
-def replace(lake: Lake, staged: DataFrame, keys: list[str] | None = None, order: str | None = None, note: dict | None = None) -> Prepared:
+def replace(lake: Lake, staged: DataFrame, keys: list[str] | None = None, order: str | None = None, note: dict | None = None, files: int | None = None) -> Prepared:
     """A version with the staged rows alone, one per key if there are keys."""
     rows = strategies.replace(None, staged, keys, order)
-    return lake.prepare(lake.version(), lake.add(rows), rows.schema, note)
+    return lake.prepare(lake.version(), lake.add(rows, files), rows.schema, note)
 
 
 def append(lake: Lake, staged: DataFrame, note: dict | None = None) -> Prepared:
@@ -258,21 +272,21 @@ def append(lake: Lake, staged: DataFrame, note: dict | None = None) -> Prepared:
 
 
 def merge(lake: Lake, staged: DataFrame, keys: list[str], order: str | None = None, note: dict | None = None,
-          apply: Callable[[DataFrame], DataFrame] | None = None) -> Prepared:
+          apply: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> Prepared:
     """Upsert; only files whose range of the table's key has a staged one are read and replaced.
 
-    The table's key is one of ``keys``. ``apply`` makes the new rows of the old ones of those files in another way.
+    The table's key is one of ``keys``. ``apply`` makes the new rows of the old ones of those files, and the staged ones, in another way.
     """
     base = lake.version()
     if not base:
-        rows = apply(lake.spark.createDataFrame([], staged.schema)) if apply else strategies.merge_into_empty(staged, keys, order)
+        rows = apply(lake.spark.createDataFrame([], staged.schema), staged) if apply else strategies.merge_into_empty(staged, keys, order)
         return lake.prepare(0, lake.add(rows), rows.schema, note)
     if lake.key not in keys:
         raise ValueError(f"the files are by {lake.key}, which is none of the keys {keys}")
     shape = lake.schema(base) if apply else _wider(lake, base, staged)
     hit = lake.hit(staged.select(lake.key), base)
     old = lake.rows(hit, shape)
-    rows = apply(old) if apply else strategies.merge(old, align(staged, shape), keys, order)
+    rows = apply(old, staged) if apply else strategies.merge(old, align(staged, shape), keys, order)
     return lake.prepare(base, _others(lake, base, hit).unionByName(lake.add(rows)), shape, note)
 
 
@@ -300,14 +314,13 @@ def delete_insert(lake: Lake, staged: DataFrame, low=None, high=None, keys: list
 def scd2(lake: Lake, staged: DataFrame, keys: list[str], stamp, incremental_key: str | None = None, note: dict | None = None) -> Prepared:
     """A history whose current and closed rows are in files of their own: closed ones are added and never read or replaced."""
     base = lake.version()
-    split = F.when(F.col("_scd_is_current"), CURRENT).otherwise(CLOSED)
     if not base:
         rows = strategies.scd2_first(staged, stamp, incremental_key)
-        return lake.prepare(0, lake.add(rows.withColumn("_tag", split)), rows.schema, note)
+        return lake.prepare(0, lake.add(rows), rows.schema, note)
     shape, files = lake.schema(base), lake.files(base)
     current = lake.rows([r[0] for r in files.filter(F.col("tag") == CURRENT).select("file").collect()], shape)
     rows = strategies.scd2(current, staged, keys, stamp, incremental_key)
-    return lake.prepare(base, files.filter(F.col("tag") == CLOSED).unionByName(lake.add(rows.withColumn("_tag", split))), shape, note)
+    return lake.prepare(base, files.filter(F.col("tag") == CLOSED).unionByName(lake.add(rows)), shape, note)
 
 
 def _others(lake: Lake, base: int, hit: list[str]) -> DataFrame:
@@ -315,6 +328,21 @@ def _others(lake: Lake, base: int, hit: list[str]) -> DataFrame:
     return lake.files(base).join(gone, "file", "left_anti")
 
 
+def counters(spark: SparkSession, tables: dict[str, Lake]) -> DataFrame:
+    """``(name, version, rows, written_rows, written_bytes, all_bytes)`` of each table.
+
+    The rows that it has, the rows and bytes of the files that its latest load wrote,
+    and the bytes that all loads wrote. The numbers are part of the version, so they
+    are there exactly if its rows are, and no row is read for them.
+    """
+    found = []
+    for name, t in tables.items():
+        note = t.content()["note"]
+        if "load" in note:
+            found.append((name, t.version(), note["rows"], note["load"]["rows"], note["load"]["bytes"], note["bytes"]))
+    return spark.createDataFrame(found, "name string, version long, rows long, written_rows long, written_bytes long, all_bytes long")
+
+
 def once(lake: Lake, stream: str, batch: int, flush: int = 0) -> dict | None:
     """The note of a stream's flush, or null if the table has it (or a later one) already.
 

@@ -19,11 +19,12 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators import changes, evolve, strategies, transforms
-from ..sources import sinks
+from ..sources import lake, scans, sinks
 
 FLUSH_SECONDS, FLUSH_ROWS = 30, 50_000
 #: Tables that one batch loads at the same time.
@@ -127,6 +128,61 @@ def append_to(table: str, ledger: str = "_batch_id") -> Callable[[DataFrame, int
     return batch
 
 
+def lake_batch(table: lake.Lake, keys: list[str] | None = None, order: str | None = None, cdc: bool = False) -> Callable[[DataFrame, int], lake.Prepared | None]:
+    """A function that makes the next version of a lake table out of a flush: a merge by ``keys``, or an append without.
+
+    It returns nothing for a flush that the table has; what it returns is still to be committed (``lake_tables``).
+    Appends read no data file, merges only those whose key range is met.
+    """
+
+    def prepare(rows: DataFrame, batch_id: int) -> lake.Prepared | None:
+        note = lake.once(table, getattr(_here, "stream", ""), batch_id, getattr(_here, "flush", 0))
+        if note is None:
+            return None
+        if not keys:
+            return lake.append(table, rows, note)
+        by_change = (lambda old, new: changes.cdc_merge(old, new, keys)) if cdc and table.version() else None
+        return lake.merge(table, rows, keys, order, note, by_change)
+
+    return prepare
+
+
+def lake_tables(
+    make: Callable[[str], Callable[[DataFrame, int], lake.Prepared | None]], journal: str, column: str | None = None, known: set[str] | None = None,
+    between: Callable[[], None] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """A batch function for one lake table (no ``column``: ``make`` gets an empty name) or many, all of which change together.
+
+    The versions of a flush are prepared side by side and made visible by one journal
+    entry. After a failure the entry is finished, and the flush, run again, finds itself done.
+    """
+    functions: dict[str, Callable[[DataFrame, int], lake.Prepared | None]] = {}
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        lake.recover(spark, journal)
+        rows = rows.persist()
+        try:
+            names = [""] if column is None else sorted(n for (n,) in rows.select(column).distinct().collect() if n is not None and (known is None or n in known))
+            if rows.isEmpty():
+                return
+            here = dict(_here.__dict__)
+
+            def prepare(name: str) -> lake.Prepared | None:
+                _here.__dict__.update(here)
+                own = rows if column is None else rows.filter(F.col(column) == name).drop(column)
+                return functions.setdefault(name, functions.get(name) or make(name))(own, batch_id)
+
+            with ThreadPoolExecutor(TOGETHER) as pool:
+                made = [v for v in pool.map(prepare, names) if v is not None]
+            if made:
+                lake.commit_all(spark, journal, made, between)
+        finally:
+            rows.unpersist()
+
+    return batch
+
+
 def stamped(batch: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """One load time for each batch."""
 
@@ -177,16 +233,48 @@ def many_tables(
     return batch
 
 
-def typed_payload(batch: Callable[[DataFrame, int], None], column: str = "data") -> Callable[[DataFrame, int], None]:
-    """JSON text in ``column`` is typed batch by batch, so a change of its shape is a change of schema like any other."""
+def _payload_type(text: str) -> T.DataType:
+    """The type that a payload has by ``schema_of_variant_agg``: decimals are doubles, what was always null is text."""
+
+    def plain(kind: T.DataType) -> T.DataType:
+        if isinstance(kind, T.StructType):
+            return T.StructType([T.StructField(f.name, plain(f.dataType)) for f in kind])
+        if isinstance(kind, T.ArrayType):
+            return T.ArrayType(plain(kind.elementType))
+        if isinstance(kind, (T.NullType, T.VariantType)):
+            return T.StringType()
+        return T.DoubleType() if isinstance(kind, T.DecimalType) else kind
+
+    # Only the words for types change, never what stands in the back quotes of a name.
+    parts = re.split(r"(`(?:[^`]|``)*`)", text)
+    words = [p if k % 2 else re.sub(r"\bOBJECT\b(?=<)", "STRUCT", p) for k, p in enumerate(_named(parts))]
+    return plain(T.DataType.fromDDL("".join(words)))
+
+
+def _named(parts: list[str]) -> list[str]:
+    """The parts of a type with every name in back quotes; names are what stands before a colon."""
+    return [p if k % 2 else re.sub(r"([^<>,:`\s][^<>,:`]*):", r"`\1`:", p) for k, p in enumerate(parts)]
+
+
+def typed_payload(batch: Callable[[DataFrame, int], None], column: str = "data", other: str = "value") -> Callable[[DataFrame, int], None]:
+    """JSON text in ``column`` is typed batch by batch, so a change of its shape is a change of schema like any other.
+
+    A payload that is no object (an array, a number, a text, or no JSON at all) is kept as text in the column ``other``.
+    """
 
     def run(rows: DataFrame, batch_id: int) -> None:
         if rows.isEmpty():
             return
-        kind = rows.select(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
-        schema = re.sub(r"DECIMAL\(\d+,\d+\)", "DOUBLE", kind.replace("OBJECT<", "STRUCT<")).replace("VOID", "STRING")
-        typed = rows.withColumn("_p", F.from_json(column, schema)).drop(column).select("*", "_p.*").drop("_p")
-        batch(typed, batch_id)
+        is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(column)).startswith("OBJECT<"), F.lit(False))
+        marked = rows.withColumn("_object", is_object)
+        objects = F.when(F.col("_object"), F.try_parse_json(column))
+        found = marked.agg(F.schema_of_variant_agg(objects).alias("kind"), F.bool_or(~F.col("_object") & F.col(column).isNotNull()).alias("others")).first()
+        kind = _payload_type(found["kind"]) if (found["kind"] or "VOID") != "VOID" else T.StructType()
+        typed = marked.withColumn("_p", F.from_json(F.when(F.col("_object"), F.col(column)), kind)) if kind.fields else marked
+        if found["others"]:
+            typed = typed.withColumn(other, F.when(~F.col("_object"), F.col(column)))
+        typed = typed.drop("_object") if other == column and found["others"] else typed.drop(column, "_object")
+        batch(typed.select("*", "_p.*").drop("_p") if kind.fields else typed, batch_id)
 
     return run
 
@@ -201,12 +289,24 @@ def stop(query: StreamingQuery, drain_seconds: int = 15) -> bool:
     """Let the query take what is there, for so long at most, then end it; whether it took all.
 
     What was not taken stays in the source and comes with the next start from the same checkpoint.
+    A query that failed is an error here, whenever it did.
     """
-    worker = threading.Thread(target=query.processAllAvailable, daemon=True)
+    failed: list[Exception] = []
+
+    def drain() -> None:
+        try:
+            query.processAllAvailable()
+        except Exception as error:  # noqa: BLE001  raised below, in the caller's thread
+            failed.append(error)
+
+    worker = threading.Thread(target=drain, daemon=True)
     worker.start()
     worker.join(drain_seconds)
     drained = not worker.is_alive()
     query.stop()
+    error = query.exception() or (failed[0] if failed and drained else None)
+    if error is not None:
+        raise error
     return drained
 
 
@@ -235,6 +335,28 @@ class Progress(StreamingQueryListener):
         pass
 
 
+def backlog(spark: SparkSession, path: str, checkpoint: str, source: int = 0) -> DataFrame:
+    """``(path, size, modified)`` of the files of a file stream that no finished batch has taken.
+
+    The source's listing against the files that the checkpoint's log has for batches
+    that it also has as finished; so a batch that failed is still behind.
+    """
+    files = scans.list_files(spark, path)
+    logs = lake.SmallFiles(spark, checkpoint)
+    if not logs.names(f"{checkpoint}/sources/{source}"):
+        return files
+    done = max((int(n) for n in logs.names(f"{checkpoint}/commits") if n.isdigit()), default=-1)
+    entries = spark.read.schema("path string, batchId long").json(f"{checkpoint}/sources/{source}").filter(F.col("batchId") <= done)
+    name = lambda c: F.regexp_replace(F.url_decode(c), "^[a-z0-9]+:/*", "/")
+    return files.join(entries.select(name("path").alias("_taken")).distinct(), name("path") == F.col("_taken"), "left_anti")
+
+
+def behind(files: DataFrame) -> DataFrame:
+    """One row: ``files, bytes, seconds`` of a backlog, the time since its oldest file (null without files)."""
+    seconds = F.unix_micros(F.current_timestamp()) - F.unix_micros(F.min("modified"))
+    return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), (seconds / 1e6).alias("seconds"))
+
+
 def lag(query: StreamingQuery) -> dict:
     """Rows of the last batch, seconds since it began and, where sources tell it, how far they are behind."""
     p = query.lastProgress

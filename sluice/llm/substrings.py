@@ -33,7 +33,8 @@ whatever their names, are not read; an empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -49,45 +50,82 @@ WINDOW, GRAM = 13, 6
 PATTERNS, STREAM = 25_000, 100_000
 #: An anchor of more documents of one batch than this is dealt over so many groups.
 HOT, SALTS = 256, 64
-#: Words of which a worker remembers the hash.
-REMEMBERED = 1_000_000
+#: Bytes of a text that are hashed at a time.
+PIECE = 1 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
+_BASE = 0x100000001B3
+_BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_blank = re.compile(rb"[ \t-\r]")
 
 _ROUTED = "owner long, shard long, lot int, is_stream boolean, doc_id long, tag long, at long, words binary"
 _REST = "key binary, doc_id long, tag long, at long"
 _FOUND = "doc_id long, tag long, is_cover boolean, first long, last long, words binary"
 
 
-class _WordHashes(dict):
-    """XXH64 of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-def window_anchors(words: list[bytes], hashes: dict) -> np.ndarray:
-    """The anchor of each window of a text."""
-    if len(words) < WINDOW:
-        return np.empty(0, np.uint64)
-    each = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = len(each) - GRAM + 1
-    grams = each[:n].copy()
-    for k in range(1, GRAM):
-        grams *= _FACTOR
-        grams += each[k : k + n]
-    grams ^= grams >> np.uint64(29)
-    grams *= _MIX
-    grams ^= grams >> np.uint64(32)
-    least, span = grams, 1
-    while span < WINDOW - GRAM + 1:  # minima over spans that double; the last step may overlap
-        step = min(span, WINDOW - GRAM + 1 - span)
-        least = np.minimum(least[:-step], least[step:])
-        span += step
-    return least
+class Words:
+    """Where the words of a text are, and a 64-bit hash of each, without taking the text apart."""
+
+    _power, _inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def __init__(self, text: bytes | None):
+        self.text = text or b""
+        starts, ends, hashes, at = [], [], [], 0
+        while at < len(self.text):
+            cut = at + PIECE
+            if cut < len(self.text):  # not within a word
+                blank = _blank.search(self.text, cut)
+                cut = blank.start() if blank else len(self.text)
+            s, e, h = self._hashed(np.frombuffer(self.text, np.uint8, min(cut, len(self.text)) - at, at))
+            starts.append(s + at), ends.append(e + at), hashes.append(h)
+            at = cut
+        none = np.empty(0, np.int64)
+        self.starts, self.ends = np.concatenate([none, *starts]), np.concatenate([none, *ends])
+        self.hashes = np.concatenate([np.empty(0, np.uint64), *hashes])
+
+    @classmethod
+    def _hashed(cls, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A word's hash is the sum of its bytes times the powers of a base, from differences of running sums."""
+        n = len(raw)
+        if len(cls._power) <= n:
+            size = 1 << n.bit_length()
+            for name, base in (("_power", _BASE), ("_inverse", pow(_BASE, -1, 1 << 64))):
+                table = np.full(size, base, np.uint64)
+                table[0] = 1
+                setattr(cls, name, np.cumprod(table))
+        blank = np.ones(n + 2, np.int8)
+        blank[1:-1] = _BLANK[raw]
+        edge = np.diff(blank)
+        starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((raw + np.uint64(1)) * cls._power[:n], out=sums[1:])
+        return starts, ends, (sums[ends] - sums[starts]) * cls._inverse[starts]
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def passage(self, first: int, last: int) -> bytes:
+        """Words ``first`` to ``last``, joined by one space."""
+        return b" ".join(self.text[self.starts[first] : self.ends[last]].split())
+
+    def anchors(self) -> np.ndarray:
+        """The anchor of each window."""
+        if len(self) < WINDOW:
+            return np.empty(0, np.uint64)
+        n = len(self) - GRAM + 1
+        grams = self.hashes[:n].copy()
+        for k in range(1, GRAM):
+            grams *= _FACTOR
+            grams += self.hashes[k : k + n]
+        grams ^= grams >> np.uint64(29)
+        grams *= _MIX
+        grams ^= grams >> np.uint64(32)
+        least, span = grams, 1
+        while span < WINDOW - GRAM + 1:  # minima over spans that double; the last step may overlap
+            step = min(span, WINDOW - GRAM + 1 - span)
+            least = np.minimum(least[:-step], least[step:])
+            span += step
+        return least
 
 
 def anchors(docs: DataFrame) -> DataFrame:
@@ -99,9 +137,8 @@ def anchors(docs: DataFrame) -> DataFrame:
     """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
         for b in it:
-            found = [np.unique(window_anchors((text.as_py() or b"").split(), hashes)) for text in b.column(1)]
+            found = [np.unique(Words(text.as_py()).anchors()) for text in b.column(1)]
             ids = np.repeat(b.column(0).to_numpy(), [len(own) for own in found])
             flat = np.concatenate([np.empty(0, np.uint64), *found])
             salt, spare = np.zeros(len(flat), np.int32), np.zeros(len(flat), bool)
@@ -136,40 +173,44 @@ def _with_lots(keys: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def _chains(doc_id: int, tag: int, words: list[bytes], start: int, at: np.ndarray, owner: np.ndarray, shard: np.ndarray, lots: np.ndarray) -> Iterator[tuple]:
-    """Rows of ``_ROUTED`` for the windows ``at`` (ascending, none twice) of a text; ``words`` begins at word ``start``."""
-    breaks = np.flatnonzero((np.diff(at) > 1) | (np.diff(owner) != 0) | (np.diff(shard) != 0) | (np.diff(lots) != 0)) + 1
+def _chains(doc_id: int, tag: int, passage: Callable[[int, int], bytes], at: np.ndarray, owner: np.ndarray, shard: np.ndarray, lots: np.ndarray) -> Iterator[tuple]:
+    """Rows of ``_ROUTED`` for the windows ``at`` (ascending, none twice) of a text; ``passage`` gives its words."""
+    breaks = np.flatnonzero((at[1:] - at[:-1] > 1) | (owner[1:] != owner[:-1]) | (shard[1:] != shard[:-1]) | (lots[1:] != lots[:-1])) + 1
     for s, e in zip([0, *breaks.tolist()], [*breaks.tolist(), len(at)]):
-        first, last, o, n = int(at[s]), int(at[e - 1]), int(owner[s]), int(lots[s])
-        passage = b" ".join(words[first - start : last - start + WINDOW])
+        first, o, n = int(at[s]), int(owner[s]), int(lots[s])
+        words = passage(first, int(at[e - 1]) + WINDOW - 1)
         for lot in range(n) if o == doc_id else (tag % n,):
-            yield o, int(shard[s]), lot, o != doc_id, doc_id, tag, first, passage
+            yield o, int(shard[s]), lot, o != doc_id, doc_id, tag, first, words
 
 
 def _passages(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches of windows whose anchors have one owner and shard, with their words."""
-    hashes = _WordHashes()
     for b in it:
         rows: list[tuple] = []
+        size = 0
         for doc_id, tag, text, keys in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
-            keys = keys.values
-            anchor = keys.field(0).to_numpy().view(np.uint64)
-            route = [keys.field(k).to_numpy() for k in (1, 2, 3)]
-            words = (text.as_py() or b"").split()
-            own = window_anchors(words, hashes)
+            words = Words(text.as_py())
+            own = words.anchors()
+            if not len(own):
+                continue
+            anchor, *route = (x.to_numpy() for x in keys.values.flatten())
+            anchor = anchor.view(np.uint64)
+            mine = route[0] == doc_id
             # What others look for in this text, and what it looks for in others.
-            for part in (np.flatnonzero(route[0] == doc_id), np.flatnonzero(route[0] != doc_id)):
-                known, first = np.unique(anchor[part], return_index=True)
-                if not len(known) or not len(own):
+            for part in (np.flatnonzero(mine), np.flatnonzero(~mine)):
+                if not len(part):
                     continue
+                known, first = np.unique(anchor[part], return_index=True)
                 place = np.searchsorted(known, own)
                 place[place == len(known)] = 0
                 at = np.flatnonzero(known[place] == own)
                 if len(at):
-                    rows.extend(_chains(doc_id, tag, words, 0, at, *(r[part[first[place[at]]]] for r in route)))
-            if sum(len(r[-1]) for r in rows[-100:]) > 1_000_000 or len(rows) > 50_000:
+                    took = part[first[place[at]]]
+                    rows.extend(_chains(doc_id, tag, words.passage, at, *(r[took] for r in route)))
+            size += len(words.text)
+            if size > 4_000_000:
                 yield _batch(rows, _ROUTED)
-                rows = []
+                rows, size = [], 0
         yield _batch(rows, _ROUTED)
 
 
@@ -208,6 +249,8 @@ class Phrases:
 
 def _stretches(at: np.ndarray) -> list[tuple[int, int]]:
     """First and last of each stretch of consecutive numbers."""
+    if len(at) and at[-1] - at[0] == len(at) - 1:
+        return [(int(at[0]), int(at[-1]))]
     breaks = np.flatnonzero(np.diff(at) > 1)
     return list(zip(at[np.concatenate(([0], breaks + 1))].tolist(), at[np.concatenate((breaks, [len(at) - 1]))].tolist())) if len(at) else []
 
@@ -230,6 +273,8 @@ def _stream(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hit = phrases.starts(words)
             for first, last in _stretches(hit):
                 rows.append((doc_id, tag, True, at + first, at + last + WINDOW, None))
+            if len(hit) == len(words) - WINDOW + 1:
+                continue
             missed = np.ones(len(words) - WINDOW + 1, bool)
             missed[hit] = False
             for first, last in _stretches(np.flatnonzero(missed)):
@@ -272,7 +317,9 @@ def _again(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             inside = np.flatnonzero((keys.field(0).to_numpy() == tag) & (at >= start) & (at + WINDOW <= end))
             if len(inside):
                 at, first = np.unique(at[inside], return_index=True)
-                rows.extend(_chains(doc_id, tag, passage.split(), start, at, *(keys.field(k).to_numpy()[inside[first]] for k in (2, 3, 4))))
+                words = passage.split()
+                part = lambda a, z: b" ".join(words[a - start : z + 1 - start])  # noqa: B023,E731  used before the next row
+                rows.extend(_chains(doc_id, tag, part, at, *(keys.field(k).to_numpy()[inside[first]] for k in (2, 3, 4))))
         yield _batch(rows, _ROUTED)
 
 
@@ -303,10 +350,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     named = whole.filter("doc_id is not null")
     # One exchange as well: all three uses take all columns, and find the filter that their joins would add.
     each = anchors(named).filter("anchor is not null and salt is not null and doc_id is not null").repartition("anchor", "salt")
-    shared = each.groupBy("anchor", "salt").agg(F.min(F.struct("doc_id", "spare")).alias("first"), F.count("*").alias("n"))
-    shared = shared.filter("n > 1").select("anchor", "salt", F.col("first.doc_id").alias("owner"), "n")
+    shared = each.groupBy("anchor", "salt").agg(F.min("doc_id").alias("owner"), F.count("spare").alias("n")).filter("n > 1")
     keys = (
-        each.join(_with_lots(shared, ["anchor", "salt"]), ["anchor", "salt"])
+        each.join(_with_lots(shared, ["anchor", "salt"]).hint("shuffle_hash"), ["anchor", "salt"])
         .filter("not spare or owner = doc_id")
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("anchor", "owner", "shard", "lots")).alias("keys"))

@@ -86,11 +86,26 @@ def test_odd_rows(spark):
     assert result(spark, []) == []
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=60))
-def test_equal_windows_have_equal_anchors(words):
-    hashes = substrings._WordHashes()
-    own = substrings.window_anchors(words, hashes)
-    assert len(own) == max(len(words) - substrings.WINDOW + 1, 0)
+texts = st.lists(st.sampled_from([b"a", b"bc", b"b", b"\xc3\xa4", b" ", b"  \n", b"\t"]), max_size=120).map(b" ".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts)
+def test_equal_windows_have_equal_anchors(text):
+    words, split = substrings.Words(text), text.split()
+    assert len(words) == len(split)
+    own = words.anchors()
+    assert len(own) == max(len(split) - substrings.WINDOW + 1, 0)
     for k in range(len(own)):
-        assert own[k] == substrings.window_anchors(words[k : k + substrings.WINDOW], hashes)[0]
+        window = b" ".join(split[k : k + substrings.WINDOW])
+        assert words.passage(k, k + substrings.WINDOW - 1) == window
+        assert own[k] == substrings.Words(window).anchors()[0]
+
+
+def test_hashes_do_not_depend_on_pieces(monkeypatch):
+    text = b" ".join(b"w%d" % (k * k) for k in range(3000)) + b" " + b"x" * 500 + b" end"
+    whole = substrings.Words(text)
+    monkeypatch.setattr(substrings, "PIECE", 97)
+    cut = substrings.Words(text)
+    assert (whole.hashes == cut.hashes).all() and (whole.starts == cut.starts).all() and (whole.ends == cut.ends).all()
+    assert len(set(whole.hashes.tolist())) == len(set(text.split()))

@@ -156,7 +156,8 @@ def links(docs: DataFrame, each: DataFrame, width: int, similarity: float, chunk
 
     def compared(cells: DataFrame) -> DataFrame:
         own = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-        rows = cells.join(own, "rep").select("root", "p", "q", "copy", "text")
+        # Candidates grow with the corpus, so they are never broadcast, at no size.
+        rows = cells.hint("merge").join(own, "rep").select("root", "p", "q", "copy", "text")
         dealt = rows.repartition("root", "p", "q").sortWithinPartitions("root", "p", "q", "copy")
         return dealt.mapInArrow(_cells(width, similarity), "u long, v long")
 

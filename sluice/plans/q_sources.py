@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 
 from ..functions.types import Column
 from ..operators import dedup, strategies
-from ..sources import partitions, scans, sinks
+from ..sources import lake, locations, partitions, scans, sinks
 from ..streaming import continuous
-from . import workspace
+from . import load, workspace
 from .registry import Registry, table
 
 _r = Registry()
@@ -78,6 +78,21 @@ def s35(spark, d):
     return scans.since(scans.csv_text(spark, path), "day", "1998-01-01").select("o_orderkey")
 
 
+@_r.add("s2_csv_quotes", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'say "' || o_orderpriority || '", ok'
+  WHEN o_orderkey % 3 = 1 THEN o_orderpriority || chr(10) || '"' || chr(10) || 'end' ELSE o_orderpriority END AS note,
+  CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS status FROM orders""")
+def s2b(spark, d):
+    """Quotes, quoted line ends, and files with two headers in other orders; written by the sink, read as one table."""
+    path = workspace.path(spark, "csv")
+    k, p = F.col("o_orderkey"), F.col("o_orderpriority")
+    note = F.when(k % 3 == 0, F.concat(F.lit('say "'), p, F.lit('", ok'))).when(k % 3 == 1, F.concat(p, F.lit('\n"\nend'))).otherwise(p)
+    o = table(spark, d, "orders").select(k.alias("id"), note.alias("note"), F.col("o_orderstatus").alias("status"))
+    sinks.csv(o.filter("id % 2 = 1").select("id", "note"), path)
+    sinks.csv(o.filter("id % 2 = 0").select("status", "note", "id"), path, "append")
+    return scans.csv_text(spark, path).select("id", "note", "status")
+
+
 @_r.add("s7_json_lines", "SELECT event_id, event_type, value FROM events")
 def s7(spark, d):
     path = workspace.path(spark, "jsonl")
@@ -116,6 +131,29 @@ def s12(spark, d):
     return rows.select("o_orderkey", (F.col("listed") & ~upper).alias("deep"), upper.alias("upper"))
 
 
+@_r.add("s12_pattern", """
+SELECT o_orderkey AS id, CAST(o_orderkey % 3 + 2 * (o_orderkey % 3) AS BIGINT) AS depth FROM orders WHERE o_orderkey % 4 IN (1, 2)""")
+def s12b(spark, d):
+    """Files of a pattern with folders at any depth, alternatives and a class; the others are not read."""
+    path = workspace.path(spark, "files")
+    o = table(spark, d, "orders")
+    for depth in (0, 3, 6):
+        for name in ("a1", "b1", "b2", "c1"):
+            rows = o.filter((F.col("o_orderkey") % 3 * 3 == depth) & (F.col("o_orderkey") % 4 == {"a1": 0, "b1": 1, "b2": 2, "c1": 3}[name]))
+            rows.select(F.col("o_orderkey").alias("id"), F.lit(depth).cast("long").alias("depth")).write.parquet(f"{path}/in{'/x' * depth}/{name}")
+    return locations.read(spark, f"{path}/in/**/{{b,d}}[0-9]/*.parquet")
+
+
+@_r.add("s1_uri", "SELECT c_custkey AS id, c_name AS name, c_acctbal > 0 AS good FROM customer")
+def s1(spark, d):
+    """A URI with a pattern and a format hint: gzipped CSV files, typed."""
+    path = workspace.path(spark, "files")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), (F.col("c_acctbal") > 0).alias("good"))
+    c.write.options(**sinks.CSV, compression="gzip").csv(path)
+    folder = path if path.startswith("/") else path.partition(":")[2]
+    return locations.load(spark, path if "://" in path else f"file://{folder}", "**/part-*#csv")
+
+
 @_r.add("s14_file_columns", "SELECT o_orderkey, TRUE AS has_path, TRUE AS has_time FROM orders")
 def s14(spark, d):
     f = scans.with_file_columns(table(spark, d, "orders"))
@@ -303,6 +341,24 @@ def s32(spark, d):
     return spark.table(name)
 
 
+@_r.add("s32_lake_merge", """
+SELECT o_orderkey, CASE WHEN o_orderkey <= m / 100 THEN 0 ELSE o_totalprice END AS price,
+  CASE WHEN o_orderkey <= m / 100 THEN FALSE WHEN o_orderkey > m / 2 THEN TRUE END AS kept
+FROM orders, (SELECT max(o_orderkey) AS m FROM orders)""")
+def s32b(spark, d):
+    """A merge of the first hundredth of the keys: rows of files far from it are where they were before."""
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    t = lake.Lake(spark, workspace.path(spark, "lake"), "o_orderkey")
+    t.commit(lake.replace(t, o, files=8))
+    before = t.files().select("file", F.lit(True).alias("was"))
+    top = o.agg(F.max("o_orderkey").alias("m")).first()["m"] or 0
+    t.commit(lake.merge(t, o.filter(F.col("o_orderkey") <= top / 100).withColumn("price", F.lit(0.0)), ["o_orderkey"]))
+    file = F.url_decode(F.regexp_extract("_metadata.file_path", "data/(.*)$", 1))
+    rows = t.read().select("*", file.alias("file")).join(F.broadcast(before), "file", "left")  # a row per file
+    k, was = F.col("o_orderkey"), F.coalesce("was", F.lit(False))
+    return rows.select("o_orderkey", "price", F.when((k <= top / 100) | (k > top / 2), was).alias("kept"))
+
+
 def _stream_folder(spark, d, files: int = 4):
     path = workspace.path(spark, "stream")
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -335,6 +391,36 @@ def r2(spark, d):
     return spark.table(name)
 
 
+@_r.add("r2_stream_merge_files", """
+SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1""")
+def r2b(spark, d):
+    """The same into a lake table, every batch twice: files without a staged key stay, and a flush that is there is left out."""
+    t = lake.Lake(spark, workspace.path(spark, "lake"), "user_id")
+    batch = continuous.lake_tables(lambda _: continuous.lake_batch(t, ["user_id"], "event_id"), f"{t.path}/journal")
+
+    def twice(rows, i):
+        for _ in range(2):
+            batch(rows.select("user_id", "event_id", "event_type", "value"), i)
+
+    _run(spark, d, twice)
+    return t.read()
+
+
+@_r.add("r3_stream_append_files", "SELECT event_id, user_id, event_type FROM events UNION ALL SELECT event_id, user_id, event_type FROM events")
+def r3b(spark, d):
+    """As ``r3_stream_append``, into files of a lake table, of which no flush reads an old one."""
+    t = lake.Lake(spark, workspace.path(spark, "lake"), "event_id")
+    batch = continuous.lake_tables(lambda _: continuous.lake_batch(t), f"{t.path}/journal")
+
+    def twice(rows, i):
+        for _ in range(2):
+            batch(rows.select("event_id", "user_id", "event_type"), i)
+
+    _run(spark, d, twice)
+    _run(spark, d, twice)
+    return t.read()
+
+
 @_r.add("r3_stream_append", "SELECT event_id, user_id, event_type FROM events UNION ALL SELECT event_id, user_id, event_type FROM events")
 def r3(spark, d):
     """Every batch runs twice, as after a failure, and is let in once; a second stream into the same table is let in too."""
@@ -375,6 +461,33 @@ def r1(spark, d):
     return spark.table(name).select("event_id", F.lit(several).alias("several"))
 
 
+@_r.add("r7_stream_tables_at_once", """
+SELECT event_type AS name, count(*) AS n_rows, max(event_id) AS last, 3 AS versions FROM events WHERE event_type IN ('view', 'click', 'purchase') GROUP BY event_type""")
+def r7b(spark, d):
+    """Three lake tables change together, batch by batch, although the stream is cut off between two of them once."""
+    base = workspace.path(spark, "lake")
+    tables = {n: lake.Lake(spark, f"{base}/{n}", "event_id") for n in ("view", "click", "purchase")}
+    calls = []
+
+    def between():
+        calls.append(1)
+        if len(calls) == 5:
+            raise RuntimeError("cut off between two tables")
+
+    batch = continuous.lake_tables(lambda n: continuous.lake_batch(tables[n]), f"{base}/journal", "event_type", set(tables), between)
+    path, schema = _stream_folder(spark, d, files=3)
+    stream, offsets = continuous.file_stream(spark, path, schema, files_per_batch=1), workspace.path(spark, "offsets")
+    for _ in range(2):
+        query = continuous.start(stream, lambda rows, i: batch(rows.select("event_type", "event_id"), i), offsets, once=True)
+        try:
+            query.awaitTermination()
+        except Exception:
+            if len(calls) != 5:  # any other error than the one made here
+                raise
+    parts = [t.read().agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n_rows"), F.max("event_id").alias("last"), F.lit(t.version()).cast("int").alias("versions")) for n, t in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @_r.add("r8_stream_new_table", "SELECT event_type AS name, count(*) AS n FROM events GROUP BY event_type")
 def r8(spark, d):
     """No table is known beforehand; each is made by the batch that first has rows for it."""
@@ -471,6 +584,43 @@ def a7(spark, d):
     return e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.octet_length("props")).alias("n_bytes"))
 
 
+@_r.add("a7_table_counters", """
+SELECT n AS name, count(*) AS "rows", count(*) AS written_rows, TRUE AS has_bytes FROM (
+  SELECT CASE WHEN event_id % 3 = 0 THEN 'third' ELSE 'other' END AS n FROM events) GROUP BY n""")
+def a7b(spark, d):
+    """Rows and bytes per table as its versions have them, of a feed loaded into two tables at once; no row is counted again."""
+    e = table(spark, d, "events").select("event_id", "value", F.when(F.col("event_id") % 3 == 0, "third").otherwise("other").alias("table"))
+    base = workspace.path(spark, "lake")
+    loads = {n: load.Load(n, "append", path=f"{base}/{n}", cluster_by="event_id") for n in ("third", "other")}
+    load.run_many(e, loads, journal=f"{base}/journal")
+    found = lake.counters(spark, {n: load.lake_table(spark, one) for n, one in loads.items()})
+    return found.select("name", "rows", "written_rows", (F.col("written_bytes") > 0).alias("has_bytes"))
+
+
+@_r.add("r13_stream_backlog", """
+SELECT 'before' AS at, 3 AS files, TRUE AS has_bytes, count(*) AS n_rows FROM events
+UNION ALL SELECT 'after', 0, FALSE, 0 FROM events HAVING count(*) >= 0""")
+def r13b(spark, d):
+    """How many files a stream is behind, before it runs and after, and the rows in them."""
+    path, schema = _stream_folder(spark, d, files=3)
+    offsets, found = workspace.path(spark, "offsets"), []
+    for at in ("before", "after"):
+        files = continuous.backlog(spark, path, offsets)
+        rows = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("path"))
+        name = lambda c: F.element_at(F.split(c, "/"), -1)
+        n_rows = rows.join(files.select(name("path").alias("_f")), name("path") == F.col("_f"), "left_semi").agg(F.count(F.lit(1)).alias("n_rows"))
+        one = continuous.behind(files).crossJoin(F.broadcast(n_rows))  # one row each
+        found.append(tuple(one.select(F.lit(at).alias("at"), F.col("files").cast("int"), F.col("bytes") > 0, "n_rows").first()))
+        if at == "before":
+            _run_at(spark, path, schema, offsets)
+    return spark.createDataFrame(found, "at string, files int, has_bytes boolean, n_rows long")
+
+
+def _run_at(spark, path, schema, offsets):
+    query = continuous.start(continuous.file_stream(spark, path, schema), lambda rows, i: sinks.discard(rows), offsets, once=True)
+    query.awaitTermination()
+
+
 @_r.add("a8_union_of_windows", "SELECT min(l_orderkey) AS lo, max(l_orderkey) AS hi, count(*) AS n_rows FROM lineitem")
 def a8(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey")

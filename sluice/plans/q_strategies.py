@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dedup, strategies
-from ..sources import sinks
+from ..sources import lake, sinks
 from . import load, workspace
 from .registry import Registry, table
 
@@ -264,6 +264,20 @@ def w8(spark, d):
     return strategies.scd2(_history(spark, d), _load(spark, d), ["c_custkey"], STAMP)
 
 
+@_r.add("w8_scd2_lake", f"""
+WITH n AS ({_scd_sql(True, f"TIMESTAMP '{STAMP}'")}), h AS ({_HISTORY})
+SELECT n.*, NOT n._scd_is_current AND EXISTS (SELECT 1 FROM h WHERE h.c_custkey = n.c_custkey AND NOT h._scd_is_current) AS kept FROM n""")
+def w8c(spark, d):
+    """The history as a lake table: rows that were closed before are in the files in which they were."""
+    t = lake.Lake(spark, workspace.path(spark, "lake"), "c_custkey")
+    t.commit(lake.replace(t, _history(spark, d)))
+    before = t.files().select("file", F.lit(True).alias("was"))
+    t.commit(lake.scd2(t, _load(spark, d), ["c_custkey"], STAMP))
+    file = F.url_decode(F.regexp_extract("_metadata.file_path", "data/(.*)$", 1))
+    rows = t.read().select("*", file.alias("file")).join(F.broadcast(before), "file", "left")  # a row per file
+    return rows.withColumn("kept", F.coalesce("was", F.lit(False))).drop("was", "file")
+
+
 @_r.add("w8_scd2_incremental", _scd_sql(False, "TIMESTAMP '2023-01-01' + to_days(CAST(c_custkey % 100 AS INTEGER))"))
 def w8b(spark, d):
     """With an incremental key, rows that the load lacks stay current and versions start at their key's time."""

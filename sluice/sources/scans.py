@@ -82,13 +82,6 @@ def glob_prefix(pattern: str) -> str:
     return fixed.rpartition("/")[0]
 
 
-def expand_doublestar(pattern: str, depth: int = 4) -> list[str]:
-    """A pattern with ``**`` as patterns that Hadoop globs know, down to a depth."""
-    if "**/" not in pattern:
-        return [pattern]
-    return [pattern.replace("**/", "*/" * k, 1) for k in range(depth + 1)]
-
-
 def with_file_columns(df: DataFrame, path: str = "_file_path", modified: str = "_file_modified") -> DataFrame:
     """A file scan with each row's file and its time."""
     return df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.file_modification_time").alias(modified))

@@ -93,6 +93,11 @@ def run(df: DataFrame, load: Load, source_strategy: str | None = None) -> None:
         sinks.append(rows, load.table)
         return
     wide = evolve.evolved(target.schema, evolve.compare(rows.schema, target.schema, tuple(load.keys)))
+    if strategy == strategies.MERGE and load.predicate is None and sinks.merges_itself(spark, load.table):
+        if _kinds(wide) != _kinds(target.schema):
+            sinks.evolve_table(spark, load.table, wide)
+        sinks.merge_into(strategies.merge_into_empty(rows, load.keys, load.incremental_key), load.table, load.keys)
+        return
     parts = sinks.partition_columns(spark, load.table)
     if parts and strategy in (strategies.MERGE, strategies.DELETE_INSERT) and _kinds(wide) == _kinds(target.schema):
         rows = rows.persist()  # read for the partitions and for the rows

@@ -332,7 +332,9 @@ SELECT n_regionkey AS id, string_agg(n_name, ',' ORDER BY n_nationkey) AS names
 def j7(spark, d):
     n = table(spark, d, "nation").orderBy("n_nationkey")
     edge = F.struct(F.struct(F.col("n_nationkey").alias("k"), F.struct(F.array(F.struct(F.struct(F.col("n_name").alias("name")).alias("node"))).alias("edges")).alias("names")).alias("node"))
-    shop = n.groupBy(F.col("n_regionkey").alias("id")).agg(F.struct(F.array_sort(F.collect_list(edge)).alias("edges")).alias("nations"))
+    shop = n.groupBy(F.col("n_regionkey").alias("id")).agg(
+        F.struct(F.array_sort(F.collect_list(edge)).alias("edges"), F.struct(F.lit(False).alias("hasNextPage")).alias("pageInfo")).alias("nations")
+    )
     flat = reshape.unwrap(shop)
     return flat.select("id", F.array_join(F.transform("nations", lambda x: x["names"][0]["name"]), ",").alias("names"))
 

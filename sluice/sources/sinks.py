@@ -147,7 +147,9 @@ def rewrite(table: str, touched: DataFrame, make: Callable[[DataFrame], DataFram
         here = reduce(lambda a, b: a | b, every)
     rows = make(target.filter(here)).select(target.columns)
     path = _place(spark, table)
-    rows.withColumn("_part", name).drop(*columns).write.option("compression", "snappy").partitionBy("_part").parquet(path)
+    # Each partition's rows come together, in as many tasks as they are large: a file or a few per partition.
+    dealt = rows.withColumn("_part", name).drop(*columns).hint("rebalance", "_part")
+    dealt.write.option("compression", "snappy").partitionBy("_part").parquet(path)
     written = {r[0] for r in spark.read.schema("_part string").parquet(path).distinct().collect()}
     if not written <= set(parts):
         raise ValueError(f"{len(written - set(parts))} partitions of {table} got rows but are not among the touched ones")
@@ -191,7 +193,17 @@ def evolve_table(spark: SparkSession, table: str, schema: T.StructType) -> list[
     return []
 
 
-def lake_merge(staged: DataFrame, table: str, keys: list[str], view: str = "t") -> None:
-    """MERGE INTO a table of a format that supports it, as one atomic snapshot."""
-    on = " AND ".join(f"{table}.{k} = {view}.{k}" for k in keys)
-    staged.alias(view).mergeInto(table, F.expr(on)).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+#: Formats whose tables take MERGE INTO.
+MERGING = ("iceberg", "delta", "paimon")
+
+
+def merges_itself(spark: SparkSession, table: str) -> bool:
+    """Whether the catalog's format takes MERGE INTO, so that one statement makes one snapshot."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return (told.get("Provider") or "").lower() in MERGING
+
+
+def merge_into(staged: DataFrame, table: str, keys: list[str]) -> None:
+    """MERGE INTO a table of a format that takes it; ``staged`` has a key once."""
+    on = " AND ".join(f"{table}.`{k}` = s.`{k}`" for k in keys)
+    staged.alias("s").mergeInto(table, F.expr(on)).whenMatched().updateAll().whenNotMatched().insertAll().merge()

@@ -10,10 +10,11 @@ import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions import casting, masking, naming
 from sluice.functions.types import Column, can_widen, merge_kinds, parse_type, widened
-from sluice.operators import infer, transforms
+from sluice.operators import infer, reshape, transforms
 from sluice.sources import partitions, registry, scans
 from sluice.streaming import continuous
 
@@ -164,3 +165,30 @@ def test_dates_in_free_form(spark):
     rows = spark.createDataFrame([(t,) for t in [*cases, None]], "t string")
     got = {r.t: r.at for r in rows.select("t", casting.to_timestamp(F.col("t")).cast("string").alias("at")).collect()}
     assert got == {**cases, None: None}
+
+
+def test_random_masks_have_the_length_of_the_text(spark):
+    df = spark.createDataFrame([("x" * n,) for n in (0, 1, 255, 256, 257, 1000)] + [(None,)], "t string")
+    got = df.select(F.length("t").alias("n"), masking.random_like(F.col("t"), None, T.StringType()).alias("m")).collect()
+    assert all((r.m is None) if r.n is None else len(r.m) == r.n for r in got)
+    long = next(r.m for r in got if r.n == 1000)
+    assert len({long[k : k + 50] for k in range(0, 1000, 50)}) == 20
+
+
+def test_nanoseconds_lose_no_microsecond(spark):
+    numbers = [1700000000123457999, 1700000000123457000, -1700000000123457001, 1700000000123457, 1700000000123, 1700000000]
+    df = spark.createDataFrame([(k, n) for k, n in enumerate(numbers)], "k int, n long")
+    got = [r[0] for r in df.orderBy("k").select(F.unix_micros(casting.epoch_to_timestamp(F.col("n")))).collect()]
+    assert got == [1700000000123457, 1700000000123457, -1700000000123458, 1700000000123457, 1700000000123000, 1700000000000000]
+
+
+def test_trim_takes_white_space_of_all_scripts(spark):
+    df = spark.createDataFrame([("\u00a0\u3000 a\u2003b \u2028\x85",), ("\u200bx",), (None,)], "t string")
+    assert [r.t for r in transforms.trim_strings(df).collect()] == ["a\u2003b", "\u200bx", None]
+
+
+def test_connections_with_page_information(spark):
+    kind = "c struct<edges: array<struct<cursor: string, node: struct<n: int, more: struct<pageInfo: struct<x: int>, edges: array<struct<node: int>>>>>>, pageInfo: struct<x: int>, total: int>"
+    df = spark.createDataFrame([(([("k", (1, ((0,), [(5,), (6,)])))], (1,), 1),), (([], (1,), 0),), ((None, (1,), 0),), (None,)], kind)
+    got = [r.c for r in reshape.unwrap(df).collect()]
+    assert got[0][0].n == 1 and got[0][0].more == [5, 6] and got[1] == [] and got[2] is None and got[3] is None

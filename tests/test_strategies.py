@@ -196,3 +196,12 @@ def test_stream_merge_rewrites_what_a_flush_touches(spark):
     batch(spark.createDataFrame([(4, "d", "x", 7)], row + ", more int"), 2)  # a new column: the whole table, still by partitions
     assert sinks.partition_columns(spark, "t_flush") == ["p"] and spark.table("t_flush").filter("more = 7").count() == 1
     assert spark.table("t_flush").count() == 4
+
+
+def test_rewrite_writes_few_files_per_partition(spark):
+    spark.sql("DROP TABLE IF EXISTS t_few")
+    rows = spark.range(0, 4000, 1, 16).select("id", (F.col("id") % 20).cast("string").alias("p"))
+    sinks.swap(rows, "t_few", ["p"])
+    assert sinks.rewrite("t_few", rows.select("p"), lambda old: old.repartition(16)) == 20
+    assert spark.table("t_few").select("_metadata.file_path").distinct().count() <= 24
+    assert spark.table("t_few").count() == 4000 and not sinks.merges_itself(spark, "t_few")

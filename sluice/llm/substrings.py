@@ -47,7 +47,9 @@ from pyspark.sql.types import LongType
 
 WINDOW, GRAM = 13, 6
 #: Recurring keys (anchors or windows) of an owner in one automaton; keys of other documents streamed through it by one task.
-PATTERNS, STREAM = 25_000, 100_000
+PATTERNS, STREAM = 25_000, 10_000
+#: Rows, and bytes of text, of a batch that a task hands on.
+ROWS, BYTES = 20_000, 4_000_000
 #: An anchor of more documents of one batch than this is dealt over so many groups.
 HOT, SALTS = 256, 64
 #: Bytes of a text that are hashed at a time.
@@ -60,6 +62,7 @@ _blank = re.compile(rb"[ \t-\r]")
 
 _ROUTED = "owner long, shard long, lot int, is_stream boolean, doc_id long, tag long, at long, words binary"
 _REST = "key binary, doc_id long, tag long, at long"
+_KEPT = "doc_id long, n_words long, n_removed long, kept binary"
 _FOUND = "doc_id long, tag long, is_cover boolean, first long, last long, words binary"
 
 
@@ -208,7 +211,7 @@ def _passages(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     took = part[first[place[at]]]
                     rows.extend(_chains(doc_id, tag, words.passage, at, *(r[took] for r in route)))
             size += len(words.text)
-            if size > 4_000_000:
+            if size > BYTES:
                 yield _batch(rows, _ROUTED)
                 rows, size = [], 0
         yield _batch(rows, _ROUTED)
@@ -260,6 +263,7 @@ def _stream(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, passages, phrases = None, [], None
     for b in it:
         rows: list[tuple] = []
+        size = 0
         heads = zip(*(b.column(k).to_pylist() for k in range(3)))
         for head, is_stream, doc_id, tag, at, passage in zip(heads, *(b.column(k).to_pylist() for k in range(3, 8))):
             if head != key:
@@ -279,6 +283,10 @@ def _stream(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             missed[hit] = False
             for first, last in _stretches(np.flatnonzero(missed)):
                 rows.append((doc_id, tag, False, at + first, at + last + WINDOW, b" ".join(words[first : last + WINDOW])))
+                size += len(rows[-1][-1])
+            if size > BYTES or len(rows) > ROWS:
+                yield _batch(rows, _FOUND)
+                rows, size = [], 0
         yield _batch(rows, _FOUND)
 
 
@@ -302,6 +310,9 @@ def _unmatched(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = passage.split()
             for i in range(len(words) - WINDOW + 1):
                 rows.append((xxhash.xxh3_128_digest(b" ".join(words[i : i + WINDOW])), doc_id, tag, first + i))
+            if len(rows) > ROWS:
+                yield _batch(rows, _REST)
+                rows = []
         yield _batch(rows, _REST)
 
 
@@ -325,21 +336,24 @@ def _again(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _kept(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in it:
-        n_words, n_removed, digest = [], [], []
-        for tag, text, covers in zip(b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()):
+        rows: list[tuple] = []
+        size = 0
+        for doc_id, tag, text, covers in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
             words = (text.as_py() or b"").split()
-            n_words.append(len(words))
-            if covers:
-                gone = np.zeros(len(words) + 1, np.int64)
-                for c in covers:
+            n = len(words)
+            if covers.is_valid:
+                gone = np.zeros(n + 1, np.int64)
+                for c in covers.as_py():
                     if c["tag"] == tag:
                         gone[c["first"]] += 1
                         gone[c["last"]] -= 1
                 words = [words[i] for i in np.flatnonzero(np.cumsum(gone[:-1]) == 0).tolist()]
-            n_removed.append(n_words[-1] - len(words))
-            digest.append(b" ".join(words))
-        columns = [b.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digest, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept"])
+            rows.append((doc_id, n, n - len(words), b" ".join(words)))
+            size += len(rows[-1][-1])
+            if size > BYTES:
+                yield _batch(rows, _KEPT)
+                rows, size = [], 0
+        yield _batch(rows, _KEPT)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -373,7 +387,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     covers = covers.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "first", "last")).alias("covers"))
     judged = texts.join(covers, "doc_id", "left").select("doc_id", "tag", "text", "covers")
     unnamed = whole.filter("doc_id is null").select("doc_id", F.xxhash64("text").alias("tag"), "text", F.lit(None).cast(judged.schema["covers"].dataType).alias("covers"))
-    return judged.unionByName(unnamed).mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept binary")
+    return judged.unionByName(unnamed).mapInArrow(_kept, _KEPT)
 
 
 def digest(kept: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ def read(spark: SparkSession, path: str, format: str | None = None, schema: T.St
         return scans.json_document(spark, files, schema)
     if kind == "parquet":
         return scans.parquet(spark, files)
-    return scans.avro(spark, files) if kind == "avro" else spark.read.orc(files)
+    return scans.avro(spark, files, schema) if kind == "avro" else spark.read.orc(files)
 
 
 def load(spark: SparkSession, uri: str, table: str | None = None, schema: T.StructType | str | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from ..functions import casting
 from ..functions.types import Column
 from ..operators import infer, transforms
 from ..operators.transforms import align
-from . import csv_files
+from . import avro_files, csv_files
 
 #: Words that mean null in CSV files fetched over HTTP; fixed values.
 NULL_WORDS = ("nan", "na", "n/a", "null", "none")
@@ -63,9 +63,9 @@ def parquet(spark: SparkSession, path, exclude: list[str] | None = None) -> Data
     return spark.read.parquet(*([path] if isinstance(path, str) else path)).drop(*(exclude or []))
 
 
-def avro(spark: SparkSession, path) -> DataFrame:
-    """Avro files; needs Spark's external avro package on the class path."""
-    return spark.read.format("avro").load(path)
+def avro(spark: SparkSession, path, schema: T.StructType | str | None = None) -> DataFrame:
+    """Avro files, without a package beside Spark (``avro_files``)."""
+    return avro_files.read(spark, path, schema)
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = True) -> DataFrame:

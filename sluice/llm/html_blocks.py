@@ -16,7 +16,7 @@ RAW = "script|style|noscript|template|textarea|iframe|xmp|noembed|noframes"
 #: Elements that never hold main text.
 BOILERPLATE = set("nav footer aside form head title menu dialog search button select option svg canvas object audio video map".split())
 ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
-#: Words that class names and ids of boilerplate have as a whole or as their first part.
+#: Words that class names and ids of boilerplate begin with.
 HINTS = set(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored "
     "nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside "
@@ -28,6 +28,13 @@ HINTS = set(
 VAGUE = set(
     "alert banner copyright form legal notice notices promo promotion recommended related share sharing social widget widgets".split()
 )
+#: Words for a part of a page's layout: after a word from above they say nothing of a subject.
+LAYOUT = set(
+    "area articles author bar block body bottom box btn button buttons card col column container content cta date email "
+    "group header holder icon icons inner input item items label left link links list main media meta mobile module next "
+    "page panel post posts prev previous primary reply right row secondary section site slot stories text this thread "
+    "title toggle top unit wrap wrapper zone".split()
+)
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
@@ -38,26 +45,41 @@ _PART = re.compile(r"[a-z0-9]+")
 
 #: HEAD is no part of the page: its title often repeats the heading of the text.
 ARTICLE, MAIN, OUTSIDE, DROPPED, HEAD = "article", "main", "outside", "dropped", "head"
-#: Places of text under a vague class name, by what it stands in.
+#: Places of text under a vague class name, and under one that may name a subject, by what it stands in.
 SUSPECT = {place: f"suspect in {place}" for place in (ARTICLE, MAIN, OUTSIDE)}
+UNUSUAL = {place: f"unusual in {place}" for place in (ARTICLE, MAIN, OUTSIDE)}
+_IN_ARTICLE = (ARTICLE, SUSPECT[ARTICLE], UNUSUAL[ARTICLE])
+
+
+def _named(name: str) -> int:
+    """What one class name or id says, as ``_verdict``.
+
+    ``search-box`` and ``comment-12`` are boilerplate, as all of their parts are words of layout;
+    ``search-theory`` and ``form-factor`` begin like boilerplate and may name the subject of a text.
+    """
+    parts = _PART.findall(name)
+    if not parts or parts[0] not in HINTS and parts[0] not in VAGUE:
+        return 0
+    if any(p not in HINTS and p not in VAGUE and p not in LAYOUT and not p[0].isdigit() for p in parts):
+        return 1
+    return 3 if parts[0] in HINTS else 2
 
 
-def _verdict(tag: str, attributes: str, in_article: bool) -> bool | None:
-    """True: boilerplate; None: perhaps; False: nothing speaks for it."""
+def _verdict(tag: str, attributes: str, in_article: bool) -> int:
+    """3: boilerplate; 2: a vague name; 1: a name that may be a subject; 0: nothing speaks against the element."""
     if tag in BOILERPLATE or tag == "header" and not in_article:
-        return True
+        return 3
     if not attributes or attributes.isspace() or tag in ("html", "body", "article", "main") and "comment" not in attributes.lower():
-        return False
+        return 0
     found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
     if "hidden" in found or found.get("aria-hidden") == "true":
-        return True
+        return 3
     if found.get("role", "").lower() in ROLES:
-        return True
+        return 3
     if re.search(r"display\s*:\s*none", found.get("style", "")):
-        return True
+        return 3
     names = (found.get("class", "") + " " + found.get("id", "")).lower().split()
-    firsts = {first[0] for first in map(_PART.search, names) if first}
-    return True if firsts & HINTS else None if firsts & VAGUE else False
+    return max(map(_named, names), default=0)
 
 
 def blocks(html: str | None) -> list[tuple[str, str, float]]:
@@ -126,13 +148,15 @@ def blocks(html: str | None) -> list[tuple[str, str, float]]:
         if tag in ("head", "title"):
             inner = HEAD
         elif place not in (DROPPED, HEAD):
-            verdict = _verdict(tag, m[4], place in (ARTICLE, SUSPECT[ARTICLE]))
-            if verdict:
+            verdict = _verdict(tag, m[4], place in _IN_ARTICLE)
+            if verdict == 3:
                 inner = DROPPED
-            elif place not in SUSPECT:  # what stands in a suspect element is suspect
+            elif place in UNUSUAL.values() and verdict == 2:
+                inner = SUSPECT[next(p for p in UNUSUAL if UNUSUAL[p] == place)]
+            elif place not in SUSPECT:  # what stands in such an element is like it
                 pass
-            elif verdict is None:
-                inner = SUSPECT[place]
+            elif verdict:
+                inner = (UNUSUAL if verdict == 1 else SUSPECT)[place]
             elif tag == "article":
                 inner = ARTICLE
             elif place != ARTICLE and (tag == "main" or re.search(r"\brole\s*=\s*[\"']?main\b", m[4])):
@@ -154,13 +178,15 @@ def divide(html: str | None) -> tuple[list[str], list[int], list[str], list[int]
     """``(texts, states, words, owner)`` of one page.
 
     ``texts`` are the blocks that may be main text, in page order, and ``states`` what is known of each:
-    SURE (in the element that marks main text), OPEN (the page marks none, and nothing speaks against
-    the block) or DOUBTFUL (under a vague class name). ``words`` are all words outside sure blocks, and
-    ``owner`` the number in ``texts`` of each word's block, -1 for boilerplate.
+    SURE (in the element that marks main text), OPEN (the page marks none and nothing speaks against
+    the block, or it is under a name that begins like boilerplate and may name a subject) or DOUBTFUL
+    (under a vague class name). ``words`` are all words outside sure blocks, and ``owner`` the number in
+    ``texts`` of each word's block, -1 for boilerplate. A null or empty page has none of all.
     """
     found = blocks(html)
-    mark = next((p for p in (ARTICLE, MAIN) if any(place == p for place, _, _ in found)), None)
-    states_of = {mark: SURE, SUSPECT[mark]: DOUBTFUL} if mark else {OUTSIDE: OPEN, SUSPECT[OUTSIDE]: DOUBTFUL}
+    mark = next((p for p in (ARTICLE, MAIN) if any(place in (p, UNUSUAL[p]) for place, _, _ in found)), None)
+    within = mark or OUTSIDE
+    states_of = {within: SURE if mark else OPEN, SUSPECT[within]: DOUBTFUL, UNUSUAL[within]: OPEN}
     texts: list[str] = []
     states: list[int] = []
     words: list[str] = []

@@ -6,10 +6,11 @@ and comments are not. The host's pages decide the rest.
 
 Runs: the token streams outside the marked main text of all pages of a host are
 searched for substrings of at least ``RUN`` tokens that stand on ``PAGES``
-different pages. Tokens of open blocks (the page marks no main text) and of
-doubtful ones (class names such as ``notice`` or ``share``, in marked text too)
-that such a run covers are boilerplate, unique runs stay. Doubtful blocks of
-hosts with fewer pages are left out. Two suffixes of a suffix array share a
+different pages. Tokens of open blocks (the page marks no main text, or a class
+name begins like boilerplate and may name a subject: ``search-theory``) and of
+doubtful ones (class names such as ``notice`` or ``share-box``), in marked text
+too, that such a run covers are boilerplate, unique runs stay. On hosts with
+fewer pages open blocks stay and doubtful ones are left out. Two suffixes of a suffix array share a
 substring of ``RUN`` tokens exactly if their first ``RUN`` tokens agree, so the
 array is kept by a hash of those tokens: suffixes are grouped by host and hash
 with map-side combination, and a host of any size is never sorted in one task.
@@ -18,7 +19,7 @@ Sure blocks of marked main text are left alone, whatever the host repeats:
 passages that articles share are content, and so are sentences that adverts and
 footers of other pages quote.
 
-Pages count as different by all their words; of unmarked pages near copies
+Pages count as different by all their words; of pages with open blocks near copies
 (``similar``) count once, or copies of one text would look like boilerplate.
 
 Defined cases: a null page has an empty text; a null url belongs to the host of

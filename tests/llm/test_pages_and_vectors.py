@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import re
 from html import unescape
 
@@ -151,6 +152,65 @@ def test_html_host_decides_doubtful_blocks(spark):
     assert all(got[i].startswith(f"own text of page {i} here") for i in range(6))
 
 
+#: Class names of blocks that belong to an article (the first five begin like boilerplate) and of blocks that do not,
+#: on a host that has no other page.
+KEPT_NAMES = ["search-theory", "comment-on-law", "newsletter-history", "form-factor", "ad-hoc", "adjacent", "story", "lead text"]
+LEFT_OUT_NAMES = ["share", "share-buttons", "cookie-notice", "comment-12", "comments", "ad-300x250", "story sidebar-left", "search_box", "notice"]
+
+
+def random_tree(rng, depth, word):
+    """``(tag, class, children)`` of block elements; leaves are texts."""
+    if depth == 0 or rng.random() < 0.25:
+        return (rng.choice(["p", "h2", "li"]), "", [" ".join(f"w{next(word)}" for _ in range(rng.integers(1, 12)))])
+    tag = rng.choice(["div", "section", "blockquote", "article", "header", "nav", "aside", "footer", "form"], p=[0.3, 0.15, 0.1, 0.1, 0.1, 0.05, 0.05, 0.05, 0.1])
+    name = rng.choice(["", *KEPT_NAMES, *LEFT_OUT_NAMES], p=[0.5, *[0.25 / len(KEPT_NAMES)] * len(KEPT_NAMES), *[0.25 / len(LEFT_OUT_NAMES)] * len(LEFT_OUT_NAMES)])
+    return (tag, "" if tag == "article" else name, [random_tree(rng, depth - 1, word) for _ in range(rng.integers(1, 4))])
+
+
+def as_html(node):
+    return node if isinstance(node, str) else f"<{node[0]}" + (f' class="{node[1]}"' if node[1] else "") + f">{''.join(map(as_html, node[2]))}</{node[0]}>"
+
+
+def main_texts(node, in_article):
+    """Texts of the tree that stand in an article and under nothing that is left out."""
+    if isinstance(node, str):
+        return [node] if in_article else []
+    tag, name, children = node
+    if tag in ("nav", "aside", "footer", "form") or tag == "header" and not in_article or name in LEFT_OUT_NAMES:
+        return []
+    if name in KEPT_NAMES[:5] and not in_article:  # an article under a name that begins like boilerplate is no mark
+        return []
+    return [t for child in children for t in main_texts(child, in_article or tag == "article")]
+
+
+def test_html_markup_equals_the_tree():
+    rng = np.random.default_rng(12)
+    for _ in range(400):
+        word = itertools.count()
+        body = [random_tree(rng, 4, word) for _ in range(3)]
+        body.insert(int(rng.integers(0, 4)), ("article", "", [("p", "", ["always here"]), random_tree(rng, 4, word)]))
+        texts, states, _, _ = divide("<html><body>" + "".join(map(as_html, body)) + "</body></html>")
+        assert [t for t, state in zip(texts, states) if state != 2] == [t for node in body for t in main_texts(node, False)]
+
+
+def test_html_no_word_of_a_name_drops_main_text(spark):
+    def page(name, i, text):
+        own = " ".join(f"own{i}x{k}" for k in range(30))
+        return own, f"<body><article><p>{own}</p><div class='{name}'>{text}</div></article></body>"
+
+    repeated, alone = "get our letter every day of the week for free", "a text that only this page of the host has in it"
+    cases = [(i, f"http://h{i}/", name, alone, True) for i, name in enumerate(KEPT_NAMES)]
+    cases += [(100 + i, "http://three/", "newsletter-plus", repeated, False) for i in range(3)] + [(103, "http://three/", "newsletter-plus", alone, True)]
+    cases += [(200 + i, "http://two/", "newsletter-plus", repeated, True) for i in range(2)]
+    rows, want = [], {}
+    for i, url, name, text, stays in cases:
+        own, html = page(name, i, text)
+        rows.append((i, url, html))
+        want[i] = f"{own}\n{text}" if stays else own
+    got = texts_of(spark, rows)
+    assert got == want and got == brute(rows, html_text.RUN, html_text.PAGES)
+
+
 def test_html_near_copies_without_marks_stay(spark):
     rng = np.random.default_rng(8)
     words = [f"w{k}" for k in range(5000)]

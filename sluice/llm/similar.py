@@ -1,10 +1,11 @@
-"""Near copies by the Jaccard similarity of their word shingles: MinHash candidates, exact verification.
+"""Near copies by the Jaccard similarity of their word shingles: candidates, exact verification.
 
 Words are those of ``simhash``; a text's set has the 64-bit XXH64 hashes of its
 shingles of ``width`` words (of the whole text where it is shorter). Texts with
 equal sets are one entry. Two entries are candidates if they agree on one of
 ``BANDS`` keys, each made of ``ROWS`` minima: a pair of similarity 0.8 is missed
-with probability (1 - 0.8^5)^30 = 3e-6. Candidates only say which entries meet:
+with probability (1 - 0.8^5)^30 = 3e-6. A caller may give another sketch of a set
+and another join for candidates (``simhash.keep_first`` does). Candidates only say which entries meet:
 the sets of a candidate component are compared exactly, all with all, until the
 components of the pairs that are similar enough are found.
 
@@ -16,7 +17,7 @@ where they resemble its first entry, and nothing is left out where they do not.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,8 +68,8 @@ def band_keys(own: np.ndarray) -> np.ndarray:
     return (mixed.sum(axis=1, dtype=np.uint64) ^ _BAND).view(np.int64)
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """``(doc_id, copy, size, keys)`` of every row: the name, size and band keys of its set."""
+def sketches(docs: DataFrame, width: int, sketch: Callable[[np.ndarray], np.ndarray] = band_keys) -> DataFrame:
+    """``(doc_id, copy, size, keys)`` of every row: the name, size and sketch of its set."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -77,7 +78,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 own = shingles(text.as_py(), width)
                 copy.append(_entry(own))
                 size.append(len(own))
-                keys.append(band_keys(own))
+                keys.append(sketch(own))
             columns = [b.column(0), pa.array(copy, pa.int64()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "copy", "size", "keys"])
 
@@ -139,13 +140,21 @@ def _cells(width: int, similarity: float):
     return run
 
 
-def links(docs: DataFrame, each: DataFrame, width: int, similarity: float, chunk: int = CHUNK) -> DataFrame:
-    """Star edges ``(u, v)`` between the entries of similar texts; ``each`` is ``sketches`` of ``docs``."""
-    named = each.filter("doc_id is not null and size > 0")
+def share_band(named: DataFrame) -> DataFrame:
+    """Edges ``(u, v)`` from the entries of each band key to the first of them."""
     keys = named.select("copy", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("copy").alias("first"), F.max("copy").alias("last")).filter("first < last")
     met = keys.join(shared.select("key", "first"), "key").filter("copy > first")
-    roots = cut(components(met.select(F.col("copy").alias("u"), F.col("first").alias("v"))), "candidates")
+    return met.select(F.col("copy").alias("u"), F.col("first").alias("v"))
+
+
+def links(
+    docs: DataFrame, each: DataFrame, width: int, similarity: float, chunk: int = CHUNK,
+    meet: Callable[[DataFrame], DataFrame] = share_band,
+) -> DataFrame:
+    """Star edges ``(u, v)`` between the entries of similar texts; ``each`` is ``sketches`` of ``docs``."""
+    named = each.filter("doc_id is not null and size > 0")
+    roots = cut(components(meet(named)), "candidates")
     members = roots.select(F.col("node").alias("copy"), "root").unionByName(roots.select(F.col("root").alias("copy"), "root").distinct())
     entries = named.groupBy("copy").agg(F.min("doc_id").alias("rep"), F.max("size").alias("size"))
     members = members.join(entries, "copy")
@@ -180,10 +189,13 @@ def links(docs: DataFrame, each: DataFrame, width: int, similarity: float, chunk
     return edges.unionByName(compared(left.unionByName(right)))
 
 
-def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, chunk: int = CHUNK) -> DataFrame:
+def near_copies(
+    docs: DataFrame, width: int = 5, similarity: float = 0.8, chunk: int = CHUNK,
+    sketch: Callable[[np.ndarray], np.ndarray] = band_keys, meet: Callable[[DataFrame], DataFrame] = share_band,
+) -> DataFrame:
     """One row per document: ``doc_id, component_id`` (smallest id reachable; null for a null id)."""
-    each = cut(sketches(docs, width), "sketches")
-    roots = components(links(docs, each, width, similarity, chunk))
+    each = cut(sketches(docs, width, sketch), "sketches")
+    roots = components(links(docs, each, width, similarity, chunk, meet))
     entries = each.filter("doc_id is not null").groupBy("copy").agg(F.min("doc_id").alias("rep"))
     entries = entries.join(roots.withColumnRenamed("node", "copy"), "copy", "left").withColumn("root", F.coalesce("root", "copy"))
     entries = cut(entries, "entries")

@@ -102,6 +102,57 @@ def test_near_copies_equal_all_pairs(spark, chunk):
     assert sorted(r.doc_id for r in simhash.keep_first(docs).collect()) == sorted(set(want.values()))
 
 
+@pytest.mark.parametrize("subtree_rows", [4, 100_000])
+def test_wide_trie_join_meets_sets_of_least_similarity(spark, subtree_rows):
+    """Pairs of similarity 0.8, equal in size or one within the other, of many sizes; a group of near copies; strangers."""
+    rng = np.random.default_rng(3)
+    sets, want = [], []
+
+    def add(*own):
+        want.append(range(len(sets), len(sets) + len(own)))
+        sets.extend(np.unique(np.concatenate(x)) for x in own)
+
+    def draw(n):
+        return rng.integers(0, 1 << 64, n, dtype=np.uint64)
+
+    for n in [1, 2, 3, 5, 10, 20, 50, 100] * 3:
+        common = draw(4 * n)
+        add([common, draw(n)], [common])
+        common = draw(8 * n)
+        add([common, draw(n)], [common, draw(n)])
+    common = draw(95)
+    add(*([common, draw(5)] for _ in range(60)))
+    for _ in range(60):
+        add([draw(100)])
+    rows = [(k, simhash.wide_fingerprint(own).tolist()) for k, own in enumerate(sets)]
+    edges = simhash.wide_links(spark.createDataFrame(rows, "copy long, keys array<long>"), subtree_rows)
+    roots = {r.node: r.root for r in components(edges).collect()}
+    assert {k: roots.get(k, k) for k in range(len(sets))} == {k: group[0] for group in want for k in group}
+
+
+def test_keep_first_finds_near_copies_by_the_trie_join(spark, monkeypatch):
+    words = [f"w{k}" for k in range(100)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-3])), (3, " ".join(words)), (4, "another text of its own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_first(docs).collect()) == [1, 4]
+    with pytest.raises(ValueError):
+        simhash.keep_first(docs, similarity=0.7)
+    monkeypatch.setattr(simhash, "wide_links", lambda named: spark.createDataFrame([], "u long, v long"))
+    assert sorted(r.doc_id for r in simhash.keep_first(docs).collect()) == [1, 2, 4]
+
+
+def test_trie_leaves_out_pairs_of_one_group(monkeypatch):
+    """A large group of near copies is not compared all with all."""
+    rng = np.random.default_rng(4)
+    flips = np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 52, (20_000, 3), dtype=np.uint64), axis=1)
+    fp = np.sort(flips ^ np.uint64(0x5A5A5A5A5A5A5A5A))
+    trie, compared = simhash.Trie(fp, simhash.WIDE_BUDGET, simhash.WIDE_LIMITS, np.zeros(len(fp), np.uint64)), []
+    whole = simhash.Trie._compare
+    monkeypatch.setattr(simhash.Trie, "_compare", lambda self, x: (compared.append(((x[1] - x[0]) * (x[3] - x[2])).sum()), whole(self, x)))
+    trie.join(np.array([[0], [len(fp)], [0], [len(fp)], [0]]), simhash.PREFIX)
+    assert not trie.settle().any() and sum(compared) < len(fp) ** 2 / 8
+
+
 @pytest.mark.parametrize("subtree_rows", [2, 40, 100_000])
 def test_trie_join_equals_all_pairs(spark, subtree_rows):
     rng = random.Random(subtree_rows)

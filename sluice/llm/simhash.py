@@ -211,7 +211,7 @@ class Trie:
 
 
 def _stars(trie: Trie, rep: np.ndarray, new: np.ndarray, p: np.ndarray, q: np.ndarray, s: np.ndarray, block: int) -> pa.RecordBatch:
-    """Edges that hang every linked row of whole subtree pairs on the first of its group.
+    """Edges that hang every linked ``rep`` of whole subtree pairs on the least of its group.
 
     The pairs begin at the rows ``new``; ``p, q, s`` are given per row, and ``block`` bits come before the path.
     """
@@ -230,7 +230,11 @@ def _stars(trie: Trie, rep: np.ndarray, new: np.ndarray, p: np.ndarray, q: np.nd
         trie.join(pairs[:, s == depth], block + int(depth))
     label = trie.settle()
     hung = np.flatnonzero(label != np.arange(len(label)))
-    return pa.RecordBatch.from_arrays([pa.array(rep[hung]), pa.array(rep[label[hung]])], ["u", "v"])
+    # A row meets its group in many tries, each with another row first; hung on the least of the lot, its edges agree.
+    names, at = np.unique(np.concatenate([rep[hung], rep[label[hung]]]), return_inverse=True)
+    first = local_components(len(names), at[: len(hung)], at[len(hung) :])
+    hung = np.flatnonzero(first != np.arange(len(names)))
+    return pa.RecordBatch.from_arrays([pa.array(names[hung]), pa.array(names[first[hung]])], ["u", "v"])
 
 
 def _begins(keys: list[np.ndarray]) -> np.ndarray:

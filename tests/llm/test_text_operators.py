@@ -130,6 +130,18 @@ def test_wide_trie_join_meets_sets_of_least_similarity(spark, subtree_rows):
     assert {k: roots.get(k, k) for k in range(len(sets))} == {k: group[0] for group in want for k in group}
 
 
+def test_wide_trie_join_gives_a_group_few_edges(spark):
+    """A set that meets its group in nearly all of the 96 tries hangs on the same few sets in them."""
+    rng = np.random.default_rng(6)
+    common = rng.integers(0, 1 << 64, 95, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([common, rng.integers(0, 1 << 64, 5, dtype=np.uint64)])) for _ in range(300)]
+    rows = [(k, simhash.wide_fingerprint(own).tolist()) for k, own in enumerate(sets)]
+    edges = simhash.wide_links(spark.createDataFrame(rows, "copy long, keys array<long>")).distinct().toPandas()
+    assert len(edges) <= 6 * len(sets)
+    roots = {r.node: r.root for r in components(spark.createDataFrame(edges)).collect()}
+    assert roots == {k: 0 for k in range(1, len(sets))}
+
+
 def test_keep_first_finds_near_copies_by_the_trie_join(spark, monkeypatch):
     words = [f"w{k}" for k in range(100)]
     rows = [(1, " ".join(words)), (2, " ".join(words[:-3])), (3, " ".join(words)), (4, "another text of its own")]
